@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartsight.params import SkewParams
 
@@ -85,7 +86,7 @@ def time_cuts(df: DataFrame, key: str, at: str, skew: SkewParams) -> Cuts:
         .agg(F.array_distinct(F.percentile_approx(F.col(at), probs, 10_000)).alias(_CUTS))
         .collect()
     )
-    schema = df.select(key).schema.add(_CUTS, "array<bigint>")
+    schema = df.select(key).schema.add(_CUTS, T.ArrayType(df.schema[at].dataType))
     return Cuts(key, df.sparkSession.createDataFrame(rows, schema), skew.fine)
 
 
