@@ -20,7 +20,7 @@ from cartsight.operators.history import distinct_changes, history_at, window_pro
 from cartsight.operators.ordered import running
 from cartsight.operators.ranking import FIXED_POINT, value_cuts
 from cartsight.operators.sessions import session_table
-from cartsight.operators.skew import PIECE, Cuts, SkewParams, join_lookup, time_cuts
+from cartsight.operators.skew import Cuts, SkewParams, join_lookup, time_cuts
 from cartsight.params import ADD_TO_CART, DAY_US, PURCHASE, VIEW
 
 MICRO = 1_000_000

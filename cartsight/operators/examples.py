@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartsight.operators.sessions import lookahead_span, session_table
+from cartsight.operators.sessions import lookahead_span
 from cartsight.params import ADD_TO_CART, PURCHASE, VIEW, FeatureParams
 
 USER = ("user_id",)
@@ -56,21 +56,32 @@ def flag_examples(
     )
 
 
-def candidates(ev: DataFrame, by: Sequence[str] = USER, horizon: int = 3) -> DataFrame:
-    """Viewed items of every session that has a full look-ahead, with the session's end."""
-    sessions = session_table(ev, by)
+def candidates(
+    ev: DataFrame, by: Sequence[str] = USER, horizon: int = 3, sessions: DataFrame | None = None
+) -> DataFrame:
+    """Viewed items of every session that has a full look-ahead, with the session's end.
+
+    ``sessions`` may bring further columns per session (``by``, session_seq, session_end_us, ...);
+    they are carried along.
+    """
+    if sessions is None:
+        ends = F.max("us").alias("session_end_us")
+        sessions = ev.groupBy(*by, "session_seq").agg(ends)
     eligible = lookahead_span(sessions, horizon, by)
-    ends = eligible.select(*by, "session_seq", F.col("end_us").alias("session_end_us"))
-    return viewed_items(ev, by).join(ends, [*by, "session_seq"])
+    return viewed_items(ev, by).join(eligible, [*by, "session_seq"])
 
 
 def training_examples(
-    ev: DataFrame, by: Sequence[str] = USER, params: FeatureParams = FeatureParams()
+    ev: DataFrame,
+    by: Sequence[str] = USER,
+    params: FeatureParams = FeatureParams(),
+    sessions: DataFrame | None = None,
 ) -> DataFrame:
     """Candidates labelled 1 when the item is bought in any of the next sessions."""
     horizon = params.horizon_sessions
     bought = acted_within(ev, PURCHASE, horizon, by)
-    return flag_examples(candidates(ev, by, horizon), bought, [*by, "item_id", "session_seq"])
+    cand = candidates(ev, by, horizon, sessions)
+    return flag_examples(cand, bought, [*by, "item_id", "session_seq"])
 
 
 # --- alternative labels -------------------------------------------------------------------------

@@ -125,9 +125,10 @@ def _history_features(windows_days: Sequence[int]) -> list:
 
 
 def session_context(ev: DataFrame, by: Sequence[str] = USER) -> DataFrame:
-    """Features of the session as a whole, its last event included."""
+    """End and features of the session as a whole, its last event included."""
     kind = F.col("event_type")
     return ev.groupBy(*by, "session_seq").agg(
+        F.max("us").alias("session_end_us"),
         minutes_between(F.min("us"), F.max("us")).alias("session_length_minutes"),
         F.count_if(kind == VIEW).alias("items_viewed_session"),
         F.count_if(kind == SCROLL).alias("items_scrolled_session"),
@@ -211,14 +212,14 @@ def build_features(
     ``ev`` feeds several branches: hand in a stored or settled table.
     """
     cuts = cuts or time_cuts(ev, "user_id", "us", skew)
-    examples = training_examples(ev, by, params)
+    examples = training_examples(ev, by, params, session_context(ev, by))
     examples = require_known_items(item_attributes(examples, catalog, skew))
     examples = item_affinity(ev, examples, cuts, by)
     examples = category_affinity(with_category(ev, catalog, skew), examples, cuts, by)
     sessions = examples.select(*by, "session_seq", "session_end_us").distinct()
     history = session_history(ev, sessions, cuts, by, params.windows_days)
     keys = [*by, "session_seq"]
-    full = examples.join(history, keys).join(session_context(ev, by), keys)
+    full = examples.join(history, keys)
     return full.select(
         *[c for c in by if c != "user_id"],
         "user_id",

@@ -78,7 +78,7 @@ def with_global_rank(
 ) -> DataFrame:
     """Add exact row numbers, from 1, along a total order.
 
-    The numbered rows are settled before the counts are taken, so both come from the same
+    The numbered rows are stored before the counts are taken, so both come from the same
     partitions.
     """
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -86,15 +86,13 @@ def with_global_rank(
     rows = settle(placed.withColumn(_SEQ, F.monotonically_increasing_id()))
     part = F.shiftright(_SEQ, 33)
     counts = rows.groupBy(part.alias("p")).count().collect()  # one row per partition
-    offsets, seen = {}, 0
-    for r in sorted(counts, key=lambda r: r["p"]):
-        offsets[r["p"]] = seen
-        seen += r["count"]
-    if not offsets:
-        return rows.withColumn(name, F.lit(0).cast("long")).drop(_SEQ)
-    table = F.create_map(*[F.lit(x).cast("long") for kv in offsets.items() for x in kv])
+    sizes = {r["p"]: r["count"] for r in counts}
+    before = [0]
+    for p in range(max(sizes, default=0)):
+        before.append(before[-1] + sizes.get(p, 0))
+    offset = F.get(F.array(*[F.lit(b).cast("long") for b in before]), part.cast("int"))
     within = F.col(_SEQ).bitwiseAND(F.lit((1 << 33) - 1))
-    return rows.withColumn(name, within + F.try_element_at(table, part) + 1).drop(_SEQ)
+    return rows.withColumn(name, within + offset + 1).drop(_SEQ)
 
 
 def by_score(tie_break: Sequence[str] = TIE_BREAK) -> list[Column]:

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartsight.operators.skew import join_lookup
 from cartsight.params import DAY_US, SECOND_US, SplitParams
 
 TRAIN, VAL, TEST = "train", "val", "test"
@@ -90,11 +91,10 @@ def temporal_split(sessionized: DataFrame, ends: SplitEnds) -> DataFrame:
 def with_session_start(sessionized: DataFrame) -> DataFrame:
     """Session start for tables that carry only a session id.
 
-    The starts are pre-aggregated to one row per session; an oversized session on the event side of
-    the join is divided by adaptive execution.
+    The starts are pre-aggregated to one row per session.
     """
     starts = sessionized.groupBy("session_id").agg(F.min("us").alias("session_start_us"))
-    return sessionized.join(starts, "session_id")
+    return join_lookup(sessionized, starts, "session_id", "inner")
 
 
 def events_of_sessions(events: DataFrame, sessions: DataFrame) -> DataFrame:

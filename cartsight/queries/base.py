@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ from cartsight.operators.sessions import sessions_by_gap
 from cartsight.operators.split import ends_of, temporal_split
 from cartsight.params import MINUTE_US, SessionParams
 from cartsight.sources import fixtures
-from cartsight.sources.tables import settle
+from cartsight.sources.tables import new_folder, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,12 +66,7 @@ def scored_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder beside the checkpoints, on storage that all executors share."""
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not base:
-        settle(spark.range(1))  # sets the checkpoint folder
-        base = sc.getCheckpointDir()
-    return f"{base.rstrip('/')}/cartsight-{name}-{uuid.uuid4().hex}"
+    return new_folder(spark, name)
 
 
 # --- SQL parts ------------------------------------------------------------------------------------

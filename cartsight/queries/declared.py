@@ -9,7 +9,7 @@ from cartsight.operators import examples as X
 from cartsight.operators import features as FE
 from cartsight.operators import quality as Q
 from cartsight.operators import sessions as S
-from cartsight.operators.skew import SkewParams, join_lookup, time_cuts
+from cartsight.operators.skew import SkewParams, time_cuts
 from cartsight.params import DAY_US
 from cartsight.queries.base import (
     SQL_CATALOG,
@@ -22,7 +22,6 @@ from cartsight.queries.base import (
     sql_events,
     sql_examples,
     sql_sessions,
-    users,
     with_sql,
 )
 from cartsight.queries.core import sql_features
@@ -365,7 +364,26 @@ def d18(spark, d):
 # --- gates ------------------------------------------------------------------------------------------
 
 
-@query("d19_leakage_check", with_sql(SQL_CLICKS, "SELECT count(*) FILTER (WHERE us IS NULL) AS n_changed FROM clickstream"))
+_HISTORY = """SELECT m.user_id, m.session_seq, count(e.us) AS n, max(e.us) AS last_us,
+    count(DISTINCT e.item_id) FILTER (WHERE e.event_type = 'view') AS items
+  FROM middle m LEFT JOIN {} e ON e.user_id = m.user_id AND e.us < m.t GROUP BY ALL"""
+
+
+@query(
+    "d19_leakage_check",
+    with_sql(
+        f"""{SQL_DETAILED},
+middle AS (SELECT p.user_id, p.session_seq, p.t FROM points p
+  JOIN (SELECT user_id, CAST(ceil(max(session_seq) / 2e0) AS BIGINT) AS session_seq
+        FROM points GROUP BY user_id) h USING (user_id, session_seq)),
+truncated AS (SELECT s.* FROM sess s JOIN middle m ON m.user_id = s.user_id AND s.us < m.t),
+whole AS ({_HISTORY.format('sess')}),
+cut AS ({_HISTORY.format('truncated')})""",
+        """SELECT count(*) AS n_changed FROM (
+  (SELECT * FROM whole EXCEPT ALL SELECT * FROM cut)
+  UNION ALL (SELECT * FROM cut EXCEPT ALL SELECT * FROM whole)) d""",
+    ),
+)
 def d19(spark, d):
     """History features of each user's middle session, with and without all later events."""
     ev, sessions, cuts = _detailed(spark, d)

@@ -17,7 +17,6 @@ from cartsight.queries.base import (
     SQL_CATALOG,
     SQL_CLICKS,
     catalog,
-    clicks,
     query,
     scored_examples,
     scratch,
@@ -30,7 +29,7 @@ from cartsight.queries.base import (
     with_sql,
 )
 from cartsight.queries.tables import TOP_SQL
-from cartsight.sources.tables import require_columns, settle
+from cartsight.sources.tables import settle
 from cartsight.streaming import online as T
 
 KEYS = ["user_id", "item_id", "session_seq"]
@@ -579,9 +578,8 @@ def l4(spark, d):
 
 
 def _live(spark, d):
-    path = f"{d}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    return T.read_stream(spark, path, schema)
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    return T.read_stream(spark, d, schema, only="events.parquet")
 
 
 @query(
@@ -600,8 +598,8 @@ def t1(spark, d):
         "user_id", F.get_json_object("props", "$.k").cast("long").alias("item_id")
     )
     score = ((F.col("item_id") * 13 + F.col("user_id") * 3) % 101) / F.lit(101.0)
-    out, state = T.fresh_folder(spark, scratch(spark, "t1"))
-    return T.drain(T.score_stream(rows, score, "v1"), out, state)
+    stream = T.score_stream(rows, score, "v1")
+    return T.drain(stream, scratch(spark, "stream"), scratch(spark, "state"))
 
 
 @query(
@@ -619,5 +617,5 @@ def t2(spark, d):
     rows = _live(spark, d).select(
         "user_id", F.col("ts").cast("timestamp").alias("timestamp"), "event_type"
     )
-    out, state = T.fresh_folder(spark, scratch(spark, "t2"))
-    return T.drain(T.session_stream(rows), out, state)
+    stream = T.session_stream(rows)
+    return T.drain(stream, scratch(spark, "stream"), scratch(spark, "state"))

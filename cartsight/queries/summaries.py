@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from cartsight.operators import sessions as S
 from cartsight.operators import summaries as A
 from cartsight.operators.examples import training_examples, viewed_items
-from cartsight.operators.features import item_attributes
 from cartsight.operators.ranking import exact_percentiles, score_histogram
 from cartsight.operators.split import split_summary
 from cartsight.queries.base import (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -96,19 +97,31 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute once into the cluster's checkpoint folder and continue from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for stored intermediate tables: the cluster's checkpoint folder.
 
-    Used where a table feeds several branches of a plan. The checkpoint is reliable storage, so
-    losing an executor costs no recomputation of what came before it.
+    Only a local session without one gets a folder of its own.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and sc.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="cartsight-")
-        if not folder:
-            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="cartsight-"))
+    return sc.getCheckpointDir().rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/cartsight-{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Store a table once in the shared folder and continue from the stored rows.
+
+    Used where a table feeds several branches of a plan. Each branch then scans only its own
+    columns, and losing an executor costs no recomputation of what came before.
+    """
+    path = new_folder(df.sparkSession, "table")
+    write_table(df, path)
+    return read_table(df.sparkSession, path, df.schema)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,12 +12,19 @@ from cartsight.params import PURCHASE, SessionParams
 
 
 def read_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    files_per_batch: int | None = None,
+    only: str | None = None,
 ) -> DataFrame:
+    """Parquet files as they arrive in a folder; ``only`` is a pattern on their names."""
     reader = spark.readStream.schema(schema)
+    if only:
+        reader = reader.option("pathGlobFilter", only)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.parquet(folder)
 
 
 def session_stream(
@@ -28,10 +33,9 @@ def session_stream(
     params: SessionParams = SessionParams(),
     ts: str = "timestamp",
 ) -> DataFrame:
-    """Closed sessions per user. The window of a session ends one gap after its last event.
+    """Closed sessions per user, each emitted once the watermark has passed its last event by the gap.
 
-    Spark's session window closes at a gap of exactly the threshold when events come in one by one
-    only if later than the window end, so equal gaps stay together as in the batch operator.
+    As in batch, a gap of exactly the threshold stays inside the session.
     """
     gap = F.session_window(F.col(ts), f"{params.inactivity_minutes} minutes")
     return (
@@ -70,9 +74,3 @@ def drain(stream: DataFrame, out_dir: str, checkpoint_dir: str) -> DataFrame:
     )
     query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(out_dir)
-
-
-def fresh_folder(spark: SparkSession, base: str) -> tuple[str, str]:
-    """New output and checkpoint folders under a shared base folder."""
-    name = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-    return f"{name}/out", f"{name}/state"
