@@ -13,9 +13,9 @@ needs no join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartsight.functions.columns import guarded_ratio, minutes_between, one_if, session_name
@@ -46,9 +46,70 @@ def _order() -> list[Column]:
     return [F.col("us"), F.col("event_id")]
 
 
-def _finish(df: DataFrame, kind: str) -> DataFrame:
-    named = df.withColumn("session_id", session_name(F.col("user_id"), F.col("session_seq"), kind))
-    return named.drop("_prev", "_prev_seq", "_new", PIECE)
+def _number_sessions(
+    pieces: DataFrame, cuts: Cuts, carried: Column, starts: Callable[[Column, Column], Column]
+) -> DataFrame:
+    """Number the sessions of each user and carry their start along, in one ordered pass.
+
+    ``starts(previous, us)`` tells from the previous row's ``carried`` value whether a row at ``us``
+    starts a session; the first row of a user always does. With cut users the first row of a piece
+    is decided afterwards, from one summary row per piece.
+    """
+    parts = ["user_id", *cuts.columns]
+    ordered = Window.partitionBy(*parts).orderBy(*_order())
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    flagged = pieces.withColumn("_carried", carried).withColumn(
+        "_new", F.coalesce(starts(F.lag("_carried").over(ordered), F.col("us")), F.lit(False))
+    )
+    new_us = F.when(F.col("_new"), F.col("us"))
+    local = flagged.withColumns(
+        {
+            "session_seq": F.sum(one_if(F.col("_new"))).over(so_far),
+            "session_start_us": F.max(new_us).over(so_far),
+            "_first_us": F.min("us").over(so_far),
+        }
+    )
+    if not cuts.active:
+        carry_seq, carry_start = F.lit(1), F.col("_first_us")
+    else:
+        local = local.join(_piece_carry(flagged, parts, starts), parts, "left")
+        carry_seq, carry_start = F.col("_carry_seq"), F.col("_carry_start")
+    return local.select(
+        *[c for c in pieces.columns if c not in cuts.columns],
+        (F.col("session_seq") + carry_seq).cast("long").alias("session_seq"),
+        F.coalesce("session_start_us", carry_start).alias("session_start_us"),
+    )
+
+
+def _piece_carry(
+    flagged: DataFrame, parts: list[str], starts: Callable[[Column, Column], Column]
+) -> DataFrame:
+    """Per piece: sessions started up to its first row, and the start of the session it opens in."""
+    pieces = flagged.groupBy(*parts).agg(
+        F.min("us").alias("_first"),
+        F.max_by("_carried", F.struct(*_order())).alias("_last"),
+        F.sum(one_if(F.col("_new"))).alias("_n"),
+        F.max(F.when(F.col("_new"), F.col("us"))).alias("_last_start"),
+    )
+    by_piece = Window.partitionBy("user_id").orderBy(PIECE)
+    before = by_piece.rowsBetween(Window.unboundedPreceding, -1)
+    upto = by_piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    head = F.coalesce(starts(F.lag("_last").over(by_piece), F.col("_first")), F.lit(True))
+    decided = pieces.withColumn("_head", head)
+    return decided.select(
+        *parts,
+        (
+            F.sum(one_if(F.col("_head"))).over(upto) + F.coalesce(F.sum("_n").over(before), F.lit(0))
+        ).alias("_carry_seq"),
+        F.greatest(
+            F.max(F.when(F.col("_head"), F.col("_first"))).over(upto),
+            F.max("_last_start").over(before),
+        ).alias("_carry_start"),
+    )
+
+
+def _named(df: DataFrame, kind: str) -> DataFrame:
+    return df.withColumn("session_id", session_name(F.col("user_id"), F.col("session_seq"), kind))
 
 
 def gap_to_previous(
@@ -74,19 +135,13 @@ def sessions_by_gap(
     events = _ready(events)
     cuts = cuts or time_cuts(events, "user_id", "us", skew)
     threshold = params.inactivity_minutes * MINUTE_US
-    pieces = cuts.add_piece(events, "us")
-    gaps = neighbours(pieces, ["user_id"], _order(), "us", cuts, previous="_prev")
-    is_new = F.col("_prev").isNull() | (F.col("us") - F.col("_prev") > F.lit(threshold))
-    flagged = gaps.withColumn("_new", is_new)
-    numbered = running(
-        flagged,
-        ["user_id"],
-        _order(),
+    numbered = _number_sessions(
+        cuts.add_piece(events, "us"),
         cuts,
-        sums={"session_seq": one_if(F.col("_new"))},
-        maxes={"session_start_us": F.when(F.col("_new"), F.col("us"))},
+        carried=F.col("us"),
+        starts=lambda previous, us: us - previous > F.lit(threshold),
     )
-    return _finish(numbered, "session")
+    return _named(numbered, "session")
 
 
 def boundary_flags(events: DataFrame, params: SessionParams = SessionParams()) -> DataFrame:
@@ -99,38 +154,16 @@ def sessions_by_intent(
     skew: SkewParams = SkewParams(),
     cuts: Cuts | None = None,
 ) -> DataFrame:
-    """A boundary event closes its session; the row after it opens the next one.
-
-    The number of a row's session is one more than the boundary events before it.
-    """
+    """A boundary event closes its session; the row after it opens the next one."""
     events = _ready(events)
     cuts = cuts or time_cuts(events, "user_id", "us", skew)
-    pieces = boundary_flags(cuts.add_piece(events, "us"), params)
-    counted = running(
-        pieces,
-        ["user_id"],
-        _order(),
-        cuts,
-        sums={"session_seq": one_if(F.col("is_boundary"))},
-        include_current=False,
-    ).withColumn("session_seq", F.col("session_seq") + 1)
-    seen = running(
-        counted,
-        ["user_id"],
-        _order(),
-        cuts,
-        maxes={"_prev_seq": F.col("session_seq")},
-        include_current=False,
-    )
-    is_first = F.col("_prev_seq").isNull() | (F.col("_prev_seq") < F.col("session_seq"))
-    started = running(
-        seen.withColumn("_new", is_first),
-        ["user_id"],
-        _order(),
+    numbered = _number_sessions(
+        cuts.add_piece(events, "us"),
         cuts,
-        maxes={"session_start_us": F.when(F.col("_new"), F.col("us"))},
+        carried=F.col("event_type").isin(*params.boundary_events),
+        starts=lambda previous, us: previous,
     )
-    return _finish(started, "intent_session").drop("is_boundary")
+    return _named(numbered, "intent_session")
 
 
 def session_table(sessionized: DataFrame, by: Sequence[str] = ("user_id",)) -> DataFrame:

@@ -21,6 +21,7 @@ from cartsight.params import SkewParams
 
 PIECE = "_piece"
 _CUTS = "_cuts"
+_COARSE = "_coarse"
 
 
 @dataclass(frozen=True)
@@ -46,21 +47,20 @@ class Cuts:
         if PIECE in df.columns:
             df = df.drop(PIECE)
         # frame holds at most 1/share keys with `coarse` numbers each
-        return (
-            df.join(F.broadcast(self.frame), self.key, "left")
-            .withColumn(PIECE, _piece_number(F.col(_CUTS), F.col(at), self.fine))
-            .drop(_CUTS)
-        )
+        held = df.join(F.broadcast(self.frame), self.key, "left")
+        # The interval search is a column of its own, so that it runs once per row.
+        coarse = F.size(F.filter(F.col(_CUTS), lambda c: c <= F.col(at)))
+        placed = held.withColumn(_COARSE, F.when(F.col(_CUTS).isNotNull(), coarse))
+        number = _piece_number(F.col(_CUTS), F.col(_COARSE), F.col(at), self.fine)
+        return placed.withColumn(PIECE, number).drop(_CUTS, _COARSE)
 
 
-def _piece_number(cuts: Column, at: Column, fine: int) -> Column:
+def _piece_number(cuts: Column, coarse: Column, at: Column, fine: int) -> Column:
     """Equal-count coarse interval, divided into ``fine`` intervals of equal width."""
-    coarse = F.size(F.filter(cuts, lambda c: c <= at))
-    low = F.try_element_at(cuts, coarse)
-    high = F.try_element_at(cuts, coarse + 1)
+    low, high = F.get(cuts, coarse - 1), F.get(cuts, coarse)
     within = F.floor((at - low) * fine / F.greatest(high - low, F.lit(1)))
-    inside = F.when((coarse > 0) & high.isNotNull(), within).otherwise(F.lit(0))
-    return F.when(cuts.isNull(), F.lit(0)).otherwise(coarse * fine + inside).cast("long")
+    inside = F.coalesce(within, F.lit(0))  # before the first cut and after the last one
+    return F.when(coarse.isNull(), F.lit(0)).otherwise(coarse * fine + inside).cast("long")
 
 
 def hot_keys(df: DataFrame, key: str, skew: SkewParams) -> list:
