@@ -16,15 +16,17 @@ from pyspark.sql import functions as F
 
 from cartsight.functions.columns import guarded_ratio, one_if
 from cartsight.operators.examples import USER, flag_examples
+from cartsight.operators.features import category_affinity
 from cartsight.operators.history import distinct_changes, history_at, window_probes
 from cartsight.operators.ordered import running
 from cartsight.operators.ranking import FIXED_POINT, value_cuts
 from cartsight.operators.sessions import session_table
 from cartsight.operators.skew import Cuts, SkewParams, join_lookup, time_cuts
 from cartsight.params import ADD_TO_CART, DAY_US, PURCHASE, VIEW
+from cartsight.sources.tables import settle
 
 MICRO = 1_000_000
-MAX_CATEGORIES = 500
+CATEGORY_BATCH = 100
 
 
 def micros(x: Column) -> Column:
@@ -209,30 +211,28 @@ def category_percentile(
 ) -> DataFrame:
     """Percent rank of the example's category by view count, among the user's categories in history.
 
-    One running count per category, so the number of categories must be small; it is checked.
-    ``examples`` has ``by``, session_seq, session_end_us, item_id, item_category.
+    The running counts of all categories are compared with the example's own, a batch of categories
+    per pass. ``examples`` has ``by``, session_seq, session_end_us, item_id, item_category.
     """
     found = ev_cat.select("category").where(F.col("category").isNotNull()).distinct()
-    names = sorted(r[0] for r in found.limit(MAX_CATEGORIES + 1).collect())
-    if len(names) > MAX_CATEGORIES:
-        raise ValueError(f"More than {MAX_CATEGORIES} categories")
-    views = ev_cat.where((F.col("event_type") == VIEW) & F.col("category").isNotNull())
-    cols = [f"k{i}" for i in range(len(names))]
-    changes = views.select(
-        *by, "us", *[one_if(F.col("category") == n).alias(c) for n, c in zip(names, cols)]
-    )
-    probes = examples.select(
-        *by, "session_seq", "item_id", "item_category", F.col("session_end_us").alias("us")
-    )
-    out = history_at(changes, probes, by, cuts, sums=cols)
-    pairs = list(zip(names, cols))
-    own = F.coalesce(*[F.when(F.col("item_category") == n, F.col(c)) for n, c in pairs], F.lit(0))
-    seen = sum((one_if(F.col(c) > 0) for c in cols), F.lit(0))
-    lower = sum((one_if((F.col(c) > 0) & (F.col(c) < F.col("_own"))) for c in cols), F.lit(0))
-    rank = F.when(F.col("_own") > 0, guarded_ratio(lower, seen - 1)).otherwise(0.0)
-    return out.withColumn("_own", own).select(
-        *by, "session_seq", "item_id", rank.alias("category_affinity_percentile")
+    names = sorted(r[0] for r in found.collect())  # the category dimension
+    columns = [*by, "session_seq", "item_id", "item_category", "session_end_us"]
+    out = category_affinity(ev_cat, examples.select(*columns), cuts, by).withColumns(
+        {"us": F.col("session_end_us"), "_seen": F.lit(0), "_lower": F.lit(0)}
     )
+    own = F.col("times_viewed_this_category")
+    views = ev_cat.where((F.col("event_type") == VIEW) & F.col("category").isNotNull())
+    for start in range(0, len(names), CATEGORY_BATCH):
+        batch = {f"k{i}": n for i, n in enumerate(names[start : start + CATEGORY_BATCH])}
+        changes = views.where(F.col("category").isin(*batch.values())).select(
+            *by, "us", *[one_if(F.col("category") == n).alias(c) for c, n in batch.items()]
+        )
+        counted = history_at(changes, out, by, cuts, sums=list(batch))
+        seen = sum((one_if(F.col(c) > 0) for c in batch), F.col("_seen"))
+        lower = sum((one_if((F.col(c) > 0) & (F.col(c) < own)) for c in batch), F.col("_lower"))
+        out = counted.withColumns({"_seen": seen, "_lower": lower}).drop(*batch)
+    rank = F.when(own > 0, guarded_ratio(F.col("_lower"), F.col("_seen") - 1)).otherwise(0.0)
+    return out.select(*by, "session_seq", "item_id", rank.alias("category_affinity_percentile"))
 
 
 def session_item_mix(ev_cat: DataFrame, by: Sequence[str] = USER) -> DataFrame:
@@ -257,7 +257,7 @@ def item_counts(train: DataFrame) -> DataFrame:
 
 def item_popularity(train: DataFrame) -> DataFrame:
     """Percent rank of each item by train views."""
-    counts = item_counts(train).select("item_id", "n_views")
+    counts = settle(item_counts(train).select("item_id", "n_views"))
     levels = counts.groupBy("n_views").agg(F.count(F.lit(1)).alias("n"))
     cuts = value_cuts(levels, "n_views", descending=False)
     below = running(
@@ -320,20 +320,24 @@ def category_conversion(train: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
-def with_train_aggregates(df: DataFrame, train: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Left join all train-only item aggregates to rows of any split; null when unseen in train."""
-    out = df
+def train_item_table(train: DataFrame, catalog: DataFrame) -> DataFrame:
+    """All train-only aggregates, one row per item known from train or the catalog."""
+    items = item_popularity(train)
     for table in (
-        item_popularity(train),
         item_conversion(train),
         item_time_to_purchase(train),
         item_cart_abandonment(train),
     ):
-        out = join_lookup(out, table, "item_id")
-    item_cat = join_lookup(
+        items = items.join(table, "item_id", "left")  # both sides unique on item_id
+    by_category = join_lookup(
         catalog.select("item_id", "category"), category_conversion(train, catalog), "category"
     )
-    return join_lookup(out, item_cat.drop("category"), "item_id")
+    return items.join(by_category.drop("category"), "item_id", "full")
+
+
+def with_train_aggregates(df: DataFrame, train: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Left join the train-only item aggregates to rows of any split; null when unseen in train."""
+    return join_lookup(df, settle(train_item_table(train, catalog)), "item_id")
 
 
 def label_bought_in_days(

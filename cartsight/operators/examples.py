@@ -57,17 +57,16 @@ def flag_examples(
 
 
 def candidates(
-    ev: DataFrame, by: Sequence[str] = USER, horizon: int = 3, sessions: DataFrame | None = None
+    ev: DataFrame, by: Sequence[str] = USER, horizon: int = 3, eligible: DataFrame | None = None
 ) -> DataFrame:
     """Viewed items of every session that has a full look-ahead, with the session's end.
 
-    ``sessions`` may bring further columns per session (``by``, session_seq, session_end_us, ...);
-    they are carried along.
+    ``eligible`` may give those sessions, with further columns (``by``, session_seq,
+    session_end_us, ...) that are carried along.
     """
-    if sessions is None:
+    if eligible is None:
         ends = F.max("us").alias("session_end_us")
-        sessions = ev.groupBy(*by, "session_seq").agg(ends)
-    eligible = lookahead_span(sessions, horizon, by)
+        eligible = lookahead_span(ev.groupBy(*by, "session_seq").agg(ends), horizon, by)
     return viewed_items(ev, by).join(eligible, [*by, "session_seq"])
 
 
@@ -75,12 +74,12 @@ def training_examples(
     ev: DataFrame,
     by: Sequence[str] = USER,
     params: FeatureParams = FeatureParams(),
-    sessions: DataFrame | None = None,
+    eligible: DataFrame | None = None,
 ) -> DataFrame:
     """Candidates labelled 1 when the item is bought in any of the next sessions."""
     horizon = params.horizon_sessions
     bought = acted_within(ev, PURCHASE, horizon, by)
-    cand = candidates(ev, by, horizon, sessions)
+    cand = candidates(ev, by, horizon, eligible)
     return flag_examples(cand, bought, [*by, "item_id", "session_seq"])
 
 

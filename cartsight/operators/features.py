@@ -21,6 +21,7 @@ from cartsight.functions.columns import (
 )
 from cartsight.operators.examples import USER, training_examples
 from cartsight.operators.history import distinct_changes, history_at, window_probes
+from cartsight.operators.sessions import lookahead_span
 from cartsight.operators.skew import Cuts, join_lookup, time_cuts
 from cartsight.params import (
     ADD_TO_CART,
@@ -30,6 +31,7 @@ from cartsight.params import (
     FeatureParams,
     SkewParams,
 )
+from cartsight.sources.tables import settle
 
 # The four event types that count as history, and the names they give to columns.
 COUNTED = (
@@ -209,15 +211,17 @@ def build_features(
 ) -> DataFrame:
     """Labelled examples with all features.
 
-    ``ev`` feeds several branches: hand in a stored or settled table.
+    ``ev`` feeds several branches: hand in a stored or settled table. The sessions that qualify
+    are stored once, since examples and histories both start from them.
     """
     cuts = cuts or time_cuts(ev, "user_id", "us", skew)
-    examples = training_examples(ev, by, params, session_context(ev, by))
+    sessions = settle(lookahead_span(session_context(ev, by), params.horizon_sessions, by))
+    examples = training_examples(ev, by, params, sessions)
     examples = require_known_items(item_attributes(examples, catalog, skew))
     examples = item_affinity(ev, examples, cuts, by)
     examples = category_affinity(with_category(ev, catalog, skew), examples, cuts, by)
-    sessions = examples.select(*by, "session_seq", "session_end_us").distinct()
-    history = session_history(ev, sessions, cuts, by, params.windows_days)
+    with_views = sessions.where(F.col("items_viewed_session") > 0)
+    history = session_history(ev, with_views, cuts, by, params.windows_days)
     keys = [*by, "session_seq"]
     full = examples.join(history, keys)
     return full.select(

@@ -40,6 +40,10 @@ def history_at(
     timeline = changes.select(*keys, at, *sums, *maxes).withColumn(_KIND, F.lit(change))
     questions = probes.withColumn(_KIND, F.lit(probe))
     rows = cuts.add_piece(timeline.unionByName(questions, allowMissingColumns=True), at)
+    totals_of = None
+    if cuts.active:  # probes add nothing to the totals, but their pieces need a carry
+        asked = cuts.add_piece(questions.select(*keys, at), at).select(*keys, PIECE).distinct()
+        totals_of = cuts.add_piece(timeline, at).unionByName(asked, allowMissingColumns=True)
     answered = running(
         rows,
         keys,
@@ -47,6 +51,7 @@ def history_at(
         cuts,
         sums={c: F.col(c) for c in sums},
         maxes={c: F.col(c) for c in maxes},
+        totals_of=totals_of,
     )
     return answered.where(F.col(_KIND) == probe).drop(_KIND, PIECE)
 

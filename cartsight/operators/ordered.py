@@ -28,8 +28,13 @@ def running(
     sums: Mapping[str, Column] | None = None,
     maxes: Mapping[str, Column] | None = None,
     include_current: bool = True,
+    totals_of: DataFrame | None = None,
 ) -> DataFrame:
-    """Add running sums (0 when empty) and running maxima (null when empty) along ``order``."""
+    """Add running sums (0 when empty) and running maxima (null when empty) along ``order``.
+
+    ``totals_of`` may give a cheaper table with the same totals per piece, and every piece of
+    ``df``, to take the carry from.
+    """
     sums, maxes = dict(sums or {}), dict(maxes or {})
     parts = [*keys, *cuts.columns]
     last = Window.currentRow if include_current else -1
@@ -39,7 +44,7 @@ def running(
     out = df.withColumns(local)
     if not cuts.active:
         return out
-    totals = df.groupBy(*parts).agg(
+    totals = (df if totals_of is None else totals_of).groupBy(*parts).agg(
         *[F.sum(e).alias(f"_t_{n}") for n, e in sums.items()],
         *[F.max(e).alias(f"_t_{n}") for n, e in maxes.items()],
     )

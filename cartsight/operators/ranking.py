@@ -122,10 +122,15 @@ def exact_percentiles(df: DataFrame, value: str, percents: Sequence[float]) -> D
 
 
 def score_curve(scored: DataFrame, segment: Sequence[str] = ()) -> DataFrame:
-    """One row per distinct score with rows and positives at or above it."""
+    """One row per distinct score with rows and positives at or above it.
+
+    The rows per score are stored once, so the scoring behind them is not repeated.
+    """
     label = F.col("label").cast("long")
-    grouped = scored.groupBy(*segment, "score").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(label).alias("pos")
+    grouped = settle(
+        scored.groupBy(*segment, "score").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(label).alias("pos")
+        )
     )
     cuts = value_cuts(grouped, "score")
     return running(
@@ -248,33 +253,31 @@ def precision_at_per_segment(
         F.count(F.lit(1)).alias("_n"),
         F.sum(F.col("label").cast("long")).alias("total_positives"),
     )
-    ks = [
+    ks = {p: F.floor(F.col("_n") * F.lit(p) / F.lit(100.0)).cast("long") for p in percents}
+    taken = {p: F.when(k > 0, k).otherwise(F.col("_n")) for p, k in ks.items()}
+    placed = join_lookup(ranked, bounds, segment, "inner").withColumn(
+        "_place", F.col("rank") - F.col("_before")
+    )
+    hits = placed.groupBy(segment, "_n", "total_positives").agg(
+        *[
+            F.sum(F.when(F.col("_place") <= taken[p], F.col("label")).otherwise(0))
+            .cast("long")
+            .alias(f"top_{p}")
+            for p in percents
+        ]
+    )
+    rows = [
         F.struct(
             F.lit(p).alias("percent"),
-            F.floor(F.col("_n") * F.lit(p) / F.lit(100.0)).cast("long").alias("k"),
+            ks[p].alias("k"),
+            (ks[p] == 0).alias("whole_table"),
+            F.col(f"top_{p}").alias("positives_found"),
+            F.col("total_positives"),
+            guarded_ratio(F.col(f"top_{p}"), taken[p]).alias("precision"),
         )
         for p in percents
     ]
-    tops = bounds.select(segment, "_before", "_n", "total_positives", F.inline(F.array(*ks)))
-    taken = F.when(F.col("k") > 0, F.col("k")).otherwise(F.col("_n"))
-    spans = tops.groupBy(segment, "_before").agg(
-        F.collect_list(F.struct("percent", taken.alias("taken"))).alias("_tops")
-    )
-    marked = join_lookup(ranked, spans, segment, "inner").select(
-        segment, "label", (F.col("rank") - F.col("_before")).alias("_r"), F.explode("_tops").alias("t")
-    )
-    hits = marked.where(F.col("_r") <= F.col("t.taken")).groupBy(
-        segment, F.col("t.percent").alias("percent")
-    ).agg(F.sum(F.col("label").cast("long")).alias("positives_found"))
-    return tops.join(hits, [segment, "percent"]).select(
-        segment,
-        "percent",
-        "k",
-        (F.col("k") == 0).alias("whole_table"),
-        "positives_found",
-        "total_positives",
-        guarded_ratio(F.col("positives_found"), taken).alias("precision"),
-    )
+    return hits.select(segment, F.inline(F.array(*rows)))
 
 
 # --- thresholds ---------------------------------------------------------------------------------

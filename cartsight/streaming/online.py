@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +10,7 @@ from pyspark.sql import types as T
 from cartsight.functions.columns import one_if
 from cartsight.operators.scoring import score_rows
 from cartsight.params import PURCHASE, SessionParams
+from cartsight.plans.training import predict
 
 
 def read_stream(
@@ -62,6 +64,13 @@ def score_stream(
     return score_rows(rows, probability, model_version, threshold)
 
 
+def score_stream_with_model(
+    model: PipelineModel, features: DataFrame, model_version: str, threshold: float = 0.5
+) -> DataFrame:
+    """Live feature rows through a stored model; the model's stages are row-wise too."""
+    return score_rows(predict(model, features), F.col("score"), model_version, threshold)
+
+
 def drain(stream: DataFrame, out_dir: str, checkpoint_dir: str) -> DataFrame:
     """Process everything available into a Parquet table and return that table."""
     query = (

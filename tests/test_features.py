@@ -214,3 +214,19 @@ def test_declared_features_hold_for_cut_users(spark):
     assert as_set(plain, *plain.columns) == as_set(cut, *plain.columns)
     plain, cut = [D.item_time_to_purchase(ev, s) for s in (PLAIN, CUT_ALL)]
     assert as_set(plain, *plain.columns) == as_set(cut, *plain.columns)
+
+
+def test_category_percentile_in_batches(spark, monkeypatch):
+    ev = settle(
+        D.with_item_details(
+            S.sessions_by_gap(fixtures.clickstream(spark, SMALL), SessionParams(480)),
+            fixtures.catalog(spark, SMALL),
+        )
+    )
+    examples = FE.item_attributes(training_examples(ev), fixtures.catalog(spark, SMALL))
+    cuts = time_cuts(ev, "user_id", "us", PLAIN)
+    whole = D.category_percentile(ev, examples, cuts)
+    want = as_set(whole, *whole.columns)
+    monkeypatch.setattr(D, "CATEGORY_BATCH", 2)
+    assert as_set(D.category_percentile(ev, examples, cuts), *whole.columns) == want
+    assert any(r[-1] not in (0.0, 1.0) for r in want)

@@ -24,7 +24,13 @@ def test_a_whole_run_stores_every_stage(spark):
     assert {"sessionized_events", "split_events", "features", "models", "predictions"} <= set(
         os.listdir(out.removeprefix("file:")))
     assert result.metrics.select("model", "split").distinct().count() == 6
-    load_model(f"{out}/models/boosted")
+    model = load_model(f"{out}/models/boosted")
+    stored = read_table(spark, f"{out}/features").drop("split").where("label >= 0")
+    live = new_folder(spark, "live")
+    stored.write.parquet(live)
+    stream = T.score_stream_with_model(model, T.read_stream(spark, live, stored.schema), "boosted-1")
+    scored = T.drain(stream, new_folder(spark, "out"), new_folder(spark, "state"))
+    assert scored.count() == 1399 and scored.where("probability is null").count() == 0
     rerun = run(spark, events, catalog, params, out, train=False)  # overwrites its stages
     assert rerun.features.count() == 1399
 
