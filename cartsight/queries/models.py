@@ -445,7 +445,15 @@ def m1(spark, d):
     return M.scaling_stats(_part(_features(spark, d), "train"), M.numeric_columns())
 
 
-@query("m2_one_hot")
+@query(
+    "m2_one_hot",
+    with_sql(
+        f"""{sql_examples(480, split=True)}, {SQL_CATALOG},
+train AS (SELECT x.*, category FROM examples x JOIN catalog USING (item_id) WHERE split = 'train')""",
+        """SELECT user_id, item_id, session_seq,
+  CAST(36 + (SELECT count(DISTINCT category) FROM train) AS INTEGER) AS width, 1e0 AS hot FROM train""",
+    ),
+)
 def m2(spark, d):
     """Prepared rows: size of the vector, and how many one-hot slots are set."""
     return _prepared(spark, d).select(*KEYS, F.size("v").alias("width"), "hot")
