@@ -29,7 +29,7 @@ from cartsight.queries.base import (
     with_sql,
 )
 from cartsight.queries.tables import TOP_SQL
-from cartsight.sources.tables import settle
+from cartsight.sources.tables import settle, with_micros
 from cartsight.streaming import online as T
 
 KEYS = ["user_id", "item_id", "session_seq"]
@@ -622,8 +622,8 @@ HAVING max(us) + 1800000000 <= ((SELECT max(us) FROM clickstream) // 1000) * 100
 )
 def t2(spark, d):
     """Sessions closed by the final watermark, one hour behind the newest event."""
-    rows = _live(spark, d).select(
-        "user_id", F.col("ts").cast("timestamp").alias("timestamp"), "event_type"
+    rows = with_micros(_live(spark, d), "ts").select(
+        "user_id", F.timestamp_micros("us").alias("timestamp"), "event_type"
     )
     stream = T.session_stream(rows)
     return T.drain(stream, scratch(spark, "stream"), scratch(spark, "state"))
