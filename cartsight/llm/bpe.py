@@ -29,7 +29,7 @@ from cartsight.llm.rows import add_columns
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 # The published split pattern of this vocabulary (fixed value); \s spelled out as Unicode White_Space.
-_WS = r"\t-\r \x85\xa0  -     　"
+_WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
     rf"| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
