@@ -15,9 +15,9 @@ and a middle has at most 65 fingerprints, all close to each other, which are lin
 Equal fingerprints are one node, so copies cost nothing beyond the first.
 
 Cases: null text has no words; no words give fingerprint zero, linked like any other; fewer words than
-a shingle give one shingle of all of them; repeated shingles count as often as they occur. A group whose ids are
-all null has component null, otherwise nulls are passed over. Input columns named like a result
-column are replaced.
+a shingle give one shingle of all of them; repeated shingles count as often as they occur. Null ids come
+after all others: a group has component null only if all its ids are null. One row of each group is kept, the
+first read of those with the smallest id. Input columns named like a result column are replaced.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from cartsight.sources.tables import settle
 SEED = 42
 CROWD = 256
 PIECE = 1 << 16  # shingles hashed at a time
-RESULT = ("fingerprint", "component_id")
+RESULT = ("fingerprint", "component_id", "kept")
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, bits
 GOLAY = 0xC75  # generator polynomial of the (23,12) code (fixed value)
 
@@ -219,15 +219,17 @@ def near_groups(
     carry: Sequence[str] | None = None,
     crowd: int = CROWD,
 ) -> DataFrame:
-    """The carried columns (all, if not named) with ``fingerprint`` and ``component_id``, the smallest id reachable."""
+    """The carried columns (all, if not named) with ``fingerprint``, ``component_id``, the smallest id reachable, and ``kept``."""
     names = [c for c in (docs.columns if carry is None else carry) if c in without(docs, RESULT).columns]
     marked = docs.select(
         *(F.col(f"`{c}`") for c in names),
         F.col(f"`{doc_id}`").cast("long").alias("_id"),
         F.col(f"`{text}`").alias("_text"),
+        F.monotonically_increasing_id().alias("_row"),
     )
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row")))
     rows = settle(add_fingerprints(marked, shingle, "_text").drop("_text"))
-    prints = settle(rows.groupBy(F.col("_print").alias("print")).agg(F.min("_id").alias("least")))
+    prints = settle(rows.groupBy(F.col("_print").alias("print")).agg(first.alias("least")))
     roots = settle(connected_components(links(prints, bits, crowd)))
     linked = prints.join(roots, prints.print == roots.node).select("print", "root", "least")
     smallest = linked.groupBy("root").agg(F.min("least").alias("_component"))
@@ -235,12 +237,13 @@ def near_groups(
     single = prints.select(F.col("print").alias("_print"), "least")
     # one row per fingerprint on the right; Spark can split the rows of a frequent fingerprint on the left
     ids = single.join(found, single._print == found._node, "left").select(
-        "_print", F.when(F.col("_node").isNull(), F.col("least")).otherwise(F.col("_component")).alias("component_id")
+        "_print", F.when(F.col("_node").isNull(), F.col("least")).otherwise(F.col("_component")).alias("_owner")
     )
     return rows.join(ids, "_print").select(
         *(F.col(f"`{c}`") for c in names),
         F.lpad(F.lower(F.hex("_print")), 16, "0").alias("fingerprint"),
-        "component_id",
+        F.col("_owner.id").alias("component_id"),
+        (F.col("_row") == F.col("_owner.row")).alias("kept"),
     )
 
 
