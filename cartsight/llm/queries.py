@@ -1,6 +1,6 @@
 """All registered queries of this package."""
 
-from cartsight.llm import bpe, linecrf, mixing, simhash, trie  # noqa: F401  (register)
+from cartsight.llm import bpe, linecrf, machine, mixing, simhash, trie  # noqa: F401  (register)
 from cartsight.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
