@@ -34,7 +34,7 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
     rf"| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
 )
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 CACHED_BYTES = 64  # longer pre-tokens are encoded each time
 
 
@@ -235,10 +235,32 @@ def decode(encoded: DataFrame, vocabulary=None, ids: str = "ids") -> DataFrame:
     return add_columns(encoded, fields, lambda x: [pa.array(decode_ids(x, _model(shared)), pa.string())], ids)
 
 
+def round_trip(docs: DataFrame, vocabulary=None, text: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one pass, so that a task needs one Python worker: ids, n_tokens, decoded."""
+    shared = vocabulary or load(docs.sparkSession)
+    fields = T.StructType(
+        [
+            T.StructField("ids", T.BinaryType()),
+            T.StructField("n_tokens", T.LongType()),
+            T.StructField("decoded", T.StringType()),
+        ]
+    )
+
+    def compute(texts: list) -> list[pa.Array]:
+        ids = encode_texts(texts, _model(shared))
+        made = decode_ids(ids, _model(shared))
+        return [
+            pa.array(ids, pa.binary()),
+            pa.array([len(x) // 4 for x in ids], pa.int64()),
+            pa.array(made, pa.string()),
+        ]
+
+    return add_columns(docs, fields, compute, text)
+
+
 def digests(docs: DataFrame, *others: str | Column) -> DataFrame:
-    """Per document the number of tokens and the digests of its ids and of the decoded text."""
-    shared = load(docs.sparkSession)
-    return decode(encode(docs.select("doc_id", "text"), shared).drop("text"), shared).select(
+    """Per document the number of tokens and the digests of its ids and of the text decoded from them."""
+    return round_trip(docs.select("doc_id", "text")).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-SLICE_BYTES = 16 << 20  # of text held as Python objects at a time
+SLICE_BYTES = 6 << 20  # of text held as Python objects at a time
 
 
 def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:

@@ -62,9 +62,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, and digests of the ids and of the text decoded from them."""
     ship(spark)
-    shared = bpe.load(spark)
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), shared).drop("text"), shared)
-    return both.select(
+    return bpe.round_trip(docs.select("doc_id", "source", "text")).select(
         "doc_id",
         "source",
         "n_tokens",
