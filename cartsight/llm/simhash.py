@@ -235,9 +235,11 @@ def near_groups(
     smallest = linked.groupBy("root").agg(F.min("least").alias("_component"))
     found = linked.select("print", "root").join(smallest, "root").select(F.col("print").alias("_node"), "_component")
     single = prints.select(F.col("print").alias("_print"), "least")
-    # one row per fingerprint on the right; Spark can split the rows of a frequent fingerprint on the left
-    ids = single.join(found, single._print == found._node, "left").select(
-        "_print", F.when(F.col("_node").isNull(), F.col("least")).otherwise(F.col("_component")).alias("_owner")
+    # stored, so that the last join reads two shuffles and Spark can split a frequent fingerprint on the left
+    ids = settle(
+        single.join(found, single._print == found._node, "left").select(
+            "_print", F.when(F.col("_node").isNull(), F.col("least")).otherwise(F.col("_component")).alias("_owner")
+        )
     )
     return rows.join(ids, "_print").select(
         *(F.col(f"`{c}`") for c in names),
