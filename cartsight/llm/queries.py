@@ -1,6 +1,6 @@
 """All registered queries of this package."""
 
-from cartsight.llm import bpe, chat, linecrf, machine, mixing, passages, ppm, simhash, trie  # noqa: F401  (register)
+from cartsight.llm import bpe, chat, licences, linecrf, machine, mixing, passages, ppm, simhash, trie  # noqa: F401  (register)
 from cartsight.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
