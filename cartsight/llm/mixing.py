@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartsight.llm.registry import query, table
-from cartsight.llm.rows import without
+from cartsight.llm.rows import packed, unpacked, without
 from cartsight.sources.tables import settle
 
 WEIGHTS = (5, 2, 1)
@@ -88,7 +88,7 @@ def mix(
     names = [c for c in (docs.columns if carry is None else carry) if c in without(docs, RESULT).columns]
     words = F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long")
     rows = docs.select(
-        *(F.col(f"`{c}`") for c in names),
+        packed(names),
         F.col(f"`{doc_id}`").cast("string").alias("_id"),
         F.coalesce(F.col(f"`{source}`"), F.lit("")).alias("_source"),
         F.col(f"`{source}`").isNull().alias("_none"),
@@ -104,7 +104,7 @@ def mix(
     chance = F.conv(digits, 16, 10).cast("long").cast("double") / F.lit(float(1 << 48))
     copies = F.floor(rate) + (chance < rate - F.floor(rate)).cast("long")
     return rows.join(by_source, ["_source", "_none"]).select(
-        *(F.col(f"`{c}`") for c in names),
+        *unpacked(names),
         F.col("_size").alias("size"),
         "source_size",
         "target",

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -30,6 +31,16 @@ def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*(f"`{c}`" for c in df.columns if c.lower() not in gone))
 
 
+def packed(names: Sequence[str]) -> Column:
+    """Carried columns as one, so that no name of theirs meets a name used inside an operator."""
+    fields = [F.col(f"`{c}`").alias(c) for c in names]
+    return (F.struct(*fields) if fields else F.lit(None).cast("boolean")).alias("_carried")
+
+
+def unpacked(names: Sequence[str]) -> list[Column]:
+    return [F.col("_carried").getField(c).alias(c) for c in names]
+
+
 def add_columns(
     df: DataFrame,
     fields: T.StructType,

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from cartsight.llm.components import connected_components
 from cartsight.llm.registry import query, table
-from cartsight.llm.rows import add_columns, without
+from cartsight.llm.rows import add_columns, packed, unpacked, without
 from cartsight.sources.tables import settle
 
 SEED = 42
@@ -222,7 +222,7 @@ def near_groups(
     """The carried columns (all, if not named) with ``fingerprint``, ``component_id``, the smallest id reachable, and ``kept``."""
     names = [c for c in (docs.columns if carry is None else carry) if c in without(docs, RESULT).columns]
     marked = docs.select(
-        *(F.col(f"`{c}`") for c in names),
+        packed(names),
         F.col(f"`{doc_id}`").cast("long").alias("_id"),
         F.col(f"`{text}`").alias("_text"),
         F.monotonically_increasing_id().alias("_row"),
@@ -242,7 +242,7 @@ def near_groups(
         )
     )
     return rows.join(ids, "_print").select(
-        *(F.col(f"`{c}`") for c in names),
+        *unpacked(names),
         F.lpad(F.lower(F.hex("_print")), 16, "0").alias("fingerprint"),
         F.col("_owner.id").alias("component_id"),
         (F.col("_row") == F.col("_owner.row")).alias("kept"),

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from cartsight.llm.registry import query, table
-from cartsight.llm.rows import slices, without
+from cartsight.llm.rows import packed, slices, unpacked, without
 from cartsight.sources.tables import settle
 
 WHITE = b" \t\n\r\x0b\x0c"
@@ -160,13 +160,12 @@ def _in_bounds(rows: Iterator[tuple], size: int = ROW_BYTES) -> Iterator[list[tu
 def local_tries(docs: DataFrame, carry: Sequence[str], doc_id: str, text: str, trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """A row per document (carried columns and keys) and a partial row per text of each partition (keys and bytes)."""
     source = docs.select(
-        *(F.col(f"`{c}`") for c in carry),
+        packed(carry),
         F.col(f"`{doc_id}`").cast("long").alias("_id"),
         F.col(f"`{text}`").alias("_text"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    carried = [T.StructField(f.name, f.dataType, True) for f in source.schema.fields[: len(carry)]]
-    schema = T.StructType([*carried, *KEYS.fields])
+    schema = T.StructType([T.StructField("_carried", source.schema[0].dataType, True), *KEYS.fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,8 +173,8 @@ def local_tries(docs: DataFrame, carry: Sequence[str], doc_id: str, text: str, t
 
         def sent(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
             for part in _in_bounds(rows):
-                empty = [pa.nulls(len(part), f.type) for f in arrow][: len(carry)]
-                yield pa.RecordBatch.from_arrays([*empty, *_key_arrays(part)], schema=arrow)
+                empty = pa.nulls(len(part), arrow.field(0).type)
+                yield pa.RecordBatch.from_arrays([empty, *_key_arrays(part)], schema=arrow)
 
         for batch in batches:
             names = batch.schema.names
@@ -189,8 +188,8 @@ def local_tries(docs: DataFrame, carry: Sequence[str], doc_id: str, text: str, t
                     data = value.encode().translate(None, WHITE)
                     trie.insert(data, (-len(value), i is None, i or 0, row), 1)
                     made.append((*_keys_of(data), len(value), i, row, None, None))
-                own = [c.slice(at, n) for c in batch.columns[: len(carry)]]
-                yield pa.RecordBatch.from_arrays([*own, *_key_arrays(made)], schema=arrow)
+                own = batch.column(0).slice(at, n)
+                yield pa.RecordBatch.from_arrays([own, *_key_arrays(made)], schema=arrow)
                 while trie.held > trie_bytes and trie.root.children:
                     yield from sent(_partial(*x) for x in trie.spill())
         yield from sent(_partial(*x) for x in trie.terminals())
@@ -246,11 +245,11 @@ def exact_groups(
     wanted = [c for c in (docs.columns if carry is None else carry) if c in without(docs, RESULT).columns]
     stored = settle(local_tries(docs, wanted, doc_id, text, trie_bytes))
     shared = owners(stored.where("_bytes IS NOT NULL"))
-    rows = stored.where("_bytes IS NULL").select(*(f"`{c}`" for c in wanted), "_length", "_sha", "_id", "_row")
+    rows = stored.where("_bytes IS NULL").select("_carried", "_length", "_sha", "_id", "_row")
     joined = rows.join(shared, ["_length", "_sha"], "left")
     alone = F.col("_size").isNull()
     return joined.select(
-        *(F.col(f"`{c}`") for c in wanted),
+        *unpacked(wanted),
         F.when(alone, F.col("_id")).otherwise(F.col("_keep")).alias("keep_id"),
         F.coalesce("_size", F.lit(1)).cast("long").alias("group_size"),
         (alone | (F.col("_row") == F.col("_keep_row"))).alias("kept"),
