@@ -67,9 +67,7 @@ def held_out(doc_id: int | None) -> bool:
 BLOCKS = T.StructType(
     [
         T.StructField("block", T.LongType()),
-        T.StructField("docs", T.ArrayType(T.LongType())),
-        T.StructField("sizes", T.ArrayType(T.IntegerType())),
-        T.StructField("tokens", T.BinaryType()),
+        T.StructField("texts", T.BinaryType()),
         T.StructField("idx", T.IntegerType()),
         T.StructField("word", T.BinaryType()),
         T.StructField("n", T.LongType()),
@@ -82,6 +80,28 @@ def _batch(schema: pa.Schema, n_rows: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(made, schema=schema)
 
 
+def pack_texts(docs: list[int | None], texts: list[np.ndarray]) -> bytes:
+    """Ids, which of them are null, lengths and tokens of some texts in one compressed string."""
+    flat = np.concatenate(texts).astype("<i4")
+    planes = np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 4).T)  # equal high bytes stand together
+    parts = (
+        np.array([len(docs)], "<i8"),
+        np.array([i or 0 for i in docs], "<i8"),
+        np.array([i is None for i in docs], "<i8"),
+        np.fromiter(map(len, texts), "<i8", len(texts)),
+    )
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(p.tobytes() for p in (*parts, planes)))
+
+
+def unpack_texts(packed: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
+    """(ids, lengths, tokens)"""
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    ids, none, sizes = np.frombuffer(raw, "<i8", 3 * n, 8).reshape(3, n)
+    planes = np.frombuffer(raw, np.uint8, offset=8 + 24 * n).reshape(4, -1)
+    return [None if x else i for i, x in zip(ids.tolist(), none)], sizes, np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
 class Block:
     """Numbered words (class byte first) of some documents, their training counts, and the texts not sent on yet."""
 
@@ -115,16 +135,7 @@ class Block:
         self.counts, self.trained = new, []
 
     def take_texts(self, schema: pa.Schema) -> pa.RecordBatch:
-        flat = np.concatenate(self.texts).astype("<i4")
-        planes = np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 4).T).tobytes()
-        out = _batch(
-            schema,
-            1,
-            block=[self.number],
-            docs=[self.docs],
-            sizes=[[len(t) for t in self.texts]],
-            tokens=[zstandard.ZstdCompressor(level=1).compress(planes)],
-        )
+        out = _batch(schema, 1, block=[self.number], texts=[pack_texts(self.docs, self.texts)])
         self.docs, self.texts, self.tokens = [], [], 0
         return out
 
@@ -146,7 +157,7 @@ class Block:
 def blocks(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", context: str | None = "lang", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """Rows of texts (docs, sizes, tokens) and rows of words (idx, word, n) of every block."""
+    """Rows of packed texts and rows of words (idx, word, n) of every block."""
     kind = F.lit(0)
     if context in docs.columns:
         kind = F.coalesce(F.crc32(F.col(f"`{context}`").cast("string").cast("binary")) % CLASSES + 1, F.lit(0))
@@ -409,11 +420,10 @@ def document_scores(stored: DataFrame, words: DataFrame, total: int, distinct: i
     """Sums over the tokens of every document, block by block."""
     answers = stored.where("word IS NOT NULL").select("block", "idx", "word").join(words, "word")
     none = {n: F.lit(None).cast(t).alias(n) for n, t in (("idx", "int"), ("c", "long"), ("lp", "double"))}
-    none |= {n: F.lit(None).cast(BLOCKS[n].dataType).alias(n) for n in ("docs", "sizes", "tokens")}
-    texts = stored.where("tokens IS NOT NULL")
+    texts = stored.where("texts IS NOT NULL")
     dealt = (
-        answers.select("block", none["docs"], none["sizes"], none["tokens"], "idx", "c", "lp")
-        .unionByName(texts.select("block", "docs", "sizes", "tokens", none["idx"], none["c"], none["lp"]))
+        answers.select("block", F.lit(None).cast("binary").alias("texts"), "idx", "c", "lp")
+        .unionByName(texts.select("block", "texts", none["idx"], none["c"], none["lp"]))
         .repartition("block")
         .sortWithinPartitions("block")
     )
@@ -423,15 +433,13 @@ def document_scores(stored: DataFrame, words: DataFrame, total: int, distinct: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, parts in grouped(batches, "block"):
             rows = pa.Table.from_batches(parts)
-            told = rows.filter(rows["tokens"].is_null())
+            told = rows.filter(rows["texts"].is_null())
             place = told["idx"].to_numpy()
             c, lp = np.zeros(len(place)), np.zeros(len(place))
             c[place], lp[place] = told["c"].to_numpy(), told["lp"].to_numpy()
             base, p = np.log10(c + 0.1) - below, prior * 10.0**lp
-            for r in rows.filter(rows["tokens"].is_valid()).select(["docs", "sizes", "tokens"]).to_pylist():
-                ids, sizes = r["docs"], np.array(r["sizes"], np.int64)
-                planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["tokens"]), np.uint8).reshape(4, -1)
-                idx = np.ascontiguousarray(planes.T).view("<i4").ravel()
+            for packed in rows.filter(rows["texts"].is_valid())["texts"].to_pylist():
+                ids, sizes, idx = unpack_texts(packed)
                 equal, before = earlier(idx, sizes)
                 # a token too unlikely for a double keeps its exact logarithm where it is new
                 with np.errstate(divide="ignore"):
