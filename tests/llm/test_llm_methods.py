@@ -338,7 +338,8 @@ def test_machine_on_held_out_labels(spark):
 def test_windows_partition_all_stretches(most):
     draw = random.Random(most)
     h = np.array([draw.randint(0, most) for _ in range(50)], np.uint64)
-    found = passages.compact_windows(h, 5, len(set(h.tolist())) < 50)
+    found = []
+    passages.compact_windows(h, 0, 50, 5, len(set(h.tolist())) < 50, found)
     for i in range(50):
         for k in range(i + 4, 50):
             hits = [w for w in found if w[0] <= i <= w[1] <= k <= w[2]]
