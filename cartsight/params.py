@@ -73,7 +73,7 @@ class ModelParams:
     rounds: int = 200
     subsample: float = 0.8
     feature_share: float = 0.8
-    min_gain: float = 0.1
+    patience: int = 20
     seed: int = 42
     # Hyper-parameter grid (searched on the temporal validation split)
     grid_max_depth: tuple[int, ...] = (4, 6, 8, 10)

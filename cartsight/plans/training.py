@@ -10,6 +10,7 @@ from dataclasses import replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
@@ -34,7 +35,6 @@ from cartsight.sources.tables import settle
 
 CATEGORY = "item_category"
 WEIGHT = "_weight"
-IS_VALIDATION = "_is_validation"
 
 
 def numeric_columns(columns: Sequence[str] | None = None) -> list[str]:
@@ -105,9 +105,32 @@ def balanced_weights(counts: dict[int, int]) -> Column:
     )
 
 
-def undersample(train: DataFrame, majority_share: float, seed: int = 42) -> DataFrame:
-    """Class rebalancing by a random part of the negatives; an alternative to class weights."""
-    return train.sampleBy(LABEL, {0: majority_share, 1: 1.0}, seed)
+def undersample(
+    train: DataFrame, majority_share: float, seed: int = 42, keys: Sequence[str] = ("user_id", "item_id", "session_seq")
+) -> DataFrame:
+    """Class rebalancing by a part of the negatives; an alternative to class weights.
+
+    A hash of the seed and the keys decides, so the same rows stay however often and wherever it runs.
+    """
+    text = F.concat_ws(":", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys))
+    place = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 10_000
+    return train.where((F.col(LABEL) == 1) | (place < round(majority_share * 10_000)))
+
+
+def linear_slope(model: PipelineModel, train: DataFrame, params: ModelParams = ModelParams()) -> float:
+    """Largest partial derivative of the fitted linear model's loss, per unit of total weight: 0 at the optimum."""
+    counts = class_counts(train)
+    n = sum(counts.values())
+    rows = model.transform(zero_missing(train).withColumn(WEIGHT, balanced_weights(counts)))
+    error = (vector_to_array("probability")[1] - F.col(LABEL)) * F.col(WEIGHT)
+    x = rows.select(error.alias("e"), vector_to_array("features").alias("x"), WEIGHT)
+    linear = model.stages[-1]
+    width = linear.numFeatures
+    sums = x.agg(F.sum(WEIGHT).alias("w"), F.sum("e").alias("b"), *(F.sum(F.col("e") * F.col("x")[i]).alias(f"g{i}") for i in range(width)))
+    row = sums.first()
+    ridge = 1.0 / max(n, 1)
+    slopes = [row["b"] / row["w"], *(row[f"g{i}"] / row["w"] + ridge * float(linear.coefficients[i]) for i in range(width))]
+    return max(map(abs, slopes))
 
 
 def fit_linear(train: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:
@@ -128,36 +151,53 @@ def fit_linear(train: DataFrame, params: ModelParams = ModelParams()) -> Pipelin
     return Pipeline(stages=[*preparation(n), model]).fit(weighted)
 
 
+def rounds_with_patience(losses: Sequence[float], patience: int) -> int:
+    """Rounds up to the best loss before the first stretch of ``patience`` rounds without a better one."""
+    best, at = math.inf, 0
+    for i, loss in enumerate(losses, 1):
+        if loss < best:
+            best, at = loss, i
+        elif i - at >= patience:
+            break
+    return max(at, 1)
+
+
 def fit_boosted(
     train: DataFrame, val: DataFrame | None = None, params: ModelParams = ModelParams()
 ) -> PipelineModel:
     """Gradient-boosted trees with a positive-class weight.
 
-    With a validation split, boosting stops once its loss no longer improves.
+    All rounds are fitted on train. With a validation split, its weighted loss is taken after each round, and the
+    trees up to the best round are kept (found with ``patience``; rounds are deterministic, so a second
+    fit of that many gives the same trees). Splits need no minimal gain: Spark's is a mean per row, for which the
+    declared gamma, a sum over rows, has no equal.
     """
     train = zero_missing(train)
-    n = train.count()
+    prepared = Pipeline(stages=preparation(train.count())).fit(train)
     weight = F.when(F.col(LABEL) == 1, params.pos_weight).otherwise(1.0)
-    rows = train.withColumn(IS_VALIDATION, F.lit(False))
-    if val is not None:
-        rows = rows.unionByName(zero_missing(val).withColumn(IS_VALIDATION, F.lit(True)))
-    rows = rows.withColumn(WEIGHT, weight)
-    model = GBTClassifier(
-        featuresCol="features",
-        labelCol=LABEL,
-        weightCol=WEIGHT,
-        maxDepth=params.max_depth,
-        stepSize=params.step_size,
-        maxIter=params.rounds,
-        subsamplingRate=params.subsample,
-        featureSubsetStrategy=str(params.feature_share),
-        minInfoGain=params.min_gain,
-        seed=params.seed,
-    )
+    columns = (LABEL, WEIGHT, "features")
+    rows = settle(prepared.transform(train.withColumn(WEIGHT, weight)).select(*columns))
+
+    def fitted(rounds: int) -> GBTClassificationModel:
+        return GBTClassifier(
+            featuresCol="features",
+            labelCol=LABEL,
+            weightCol=WEIGHT,
+            maxDepth=params.max_depth,
+            stepSize=params.step_size,
+            maxIter=rounds,
+            subsamplingRate=params.subsample,
+            featureSubsetStrategy=str(params.feature_share),
+            minInfoGain=0.0,
+            seed=params.seed,
+        ).fit(rows)
+
+    booster = fitted(params.rounds)
     if val is not None:
-        model = model.setValidationIndicatorCol(IS_VALIDATION)
-    prepared = Pipeline(stages=preparation(n)).fit(train)  # fitted on train only
-    booster = model.fit(prepared.transform(rows))
+        judged = settle(prepared.transform(zero_missing(val).withColumn(WEIGHT, weight)).select(*columns))
+        keep = rounds_with_patience(booster.evaluateEachIteration(judged), params.patience)
+        if keep < params.rounds:
+            booster = fitted(keep)
     return PipelineModel(stages=[*prepared.stages, booster])
 
 

@@ -548,25 +548,30 @@ def l2(spark, d):
         """SELECT split, count(*) AS n_examples, CAST(sum(label) AS BIGINT) AS positives,
   CAST(sum(views_count_7d) AS BIGINT) AS views_7d,
   CAST(sum(unique_items_viewed_30d) AS BIGINT) AS items_30d,
-  CAST(sum(times_viewed_this_category) AS BIGINT) AS category_views
+  CAST(sum(times_viewed_this_category) AS BIGINT) AS category_views,
+  CAST(2 AS BIGINT) AS n_models, CAST(count(*) AS DOUBLE) AS least_scored, CAST(count(*) AS DOUBLE) AS most_scored
 FROM features GROUP BY split""",
     ),
 )
 def l1(spark, d):
-    """One call from raw events to stored features, summed per split."""
+    """One call from raw events to trained and measured models: features and models summed up per split."""
     from cartsight.queries.base import scratch
 
     params = Params(session=SessionParams(inactivity_minutes=GAP))
-    result = run(
-        spark, clicks(spark, d), catalog(spark, d), params, scratch(spark, "run"), train=False
+    result = run(spark, clicks(spark, d), catalog(spark, d), params, scratch(spark, "run"))
+    models = result.metrics.where("metric = 'n_examples'").groupBy("split").agg(
+        F.count_distinct("model").alias("n_models"),
+        F.min("value").alias("least_scored"),
+        F.max("value").alias("most_scored"),
     )
-    return result.features.groupBy("split").agg(
+    sums = result.features.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_examples"),
         F.sum("label").alias("positives"),
         F.sum("views_count_7d").alias("views_7d"),
         F.sum("unique_items_viewed_30d").alias("items_30d"),
         F.sum("times_viewed_this_category").alias("category_views"),
     )
+    return sums.join(models, "split")
 
 
 @query(

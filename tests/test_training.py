@@ -73,7 +73,7 @@ def test_models_beat_the_base_rate_and_reload(spark, data, fit):
     if fit == "linear":
         model = M.fit_linear(train, QUICK)
     elif fit == "boosted":
-        model = M.fit_boosted(train, val, replace(QUICK, pos_weight=10.0, min_gain=0.0))
+        model = M.fit_boosted(train, val, replace(QUICK, pos_weight=10.0))
     else:
         model = M.fit_forest(train, QUICK)
     scored = M.predict(model, val)
@@ -86,6 +86,19 @@ def test_models_beat_the_base_rate_and_reload(spark, data, fit):
     assert both.count() == 0
 
 
+def test_boosting_keeps_many_trees_with_splits(spark, data):
+    train, val = data
+    model = M.fit_boosted(train, val, replace(ModelParams(), rounds=40, max_depth=4, pos_weight=1.0))
+    trees = model.stages[-1].trees
+    assert len(trees) > 10 and all(t.numNodes > 1 for t in trees)
+
+
+def test_patience():
+    assert M.rounds_with_patience([5, 4, 3, 4, 4, 2], 2) == 3
+    assert M.rounds_with_patience([5, 4, 3, 4, 4, 2], 3) == 6
+    assert M.rounds_with_patience([1, 2, 3, 4], 20) == 1
+
+
 def test_missing_features_count_as_zero(spark, data):
     train, _ = data
     holes = train.withColumn("views_count_1d", F.lit(None).cast("double"))
@@ -94,7 +107,7 @@ def test_missing_features_count_as_zero(spark, data):
 
 def test_importance_names_the_useful_features(spark, data):
     train, _ = data
-    model = M.fit_boosted(train, None, replace(QUICK, pos_weight=1.0, min_gain=0.0))
+    model = M.fit_boosted(train, None, replace(QUICK, pos_weight=1.0))
     top = [r["feature"] for r in M.top_features(M.feature_importance(model, train), 2).collect()]
     assert set(top) == {"views_count_7d", "times_viewed_this_item"}
 
@@ -102,7 +115,7 @@ def test_importance_names_the_useful_features(spark, data):
 def test_grid_is_judged_on_validation(spark, data):
     train, val = data
     grid = replace(QUICK, grid_max_depth=(1, 3), grid_step_size=(0.1,), grid_rounds=(3,),
-                   grid_pos_weight=(5.0,), min_gain=0.0)
+                   grid_pos_weight=(5.0,))
     best, ap = M.tune(train, val, grid)
     assert best.max_depth == 3 and 0 < ap <= 1
 
