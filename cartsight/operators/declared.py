@@ -26,7 +26,6 @@ from cartsight.params import ADD_TO_CART, DAY_US, PURCHASE, VIEW
 from cartsight.sources.tables import settle
 
 MICRO = 1_000_000
-CATEGORY_BATCH = 100
 
 
 def micros(x: Column) -> Column:
@@ -211,28 +210,34 @@ def category_percentile(
 ) -> DataFrame:
     """Percent rank of the example's category by view count, among the user's categories in history.
 
-    The running counts of all categories are compared with the example's own, a batch of categories
-    per pass. ``examples`` has ``by``, session_seq, session_end_us, item_id, item_category.
+    The k-th view of a category brings it to level k. For an example whose own category has k views, the
+    categories with k or more are those that reached level k before, and all seen are those that reached level
+    1: two look-ups on the key (user, level), whatever the number of categories.
+    ``examples`` has ``by``, session_seq, session_end_us, item_id, item_category.
     """
-    found = ev_cat.select("category").where(F.col("category").isNotNull()).distinct()
-    names = sorted(r[0] for r in found.collect())  # the category dimension
-    columns = [*by, "session_seq", "item_id", "item_category", "session_end_us"]
-    out = category_affinity(ev_cat, examples.select(*columns), cuts, by).withColumns(
-        {"us": F.col("session_end_us"), "_seen": F.lit(0), "_lower": F.lit(0)}
+    keys = [*by, "session_seq", "item_id"]
+    own = category_affinity(ev_cat, examples.select(*keys, "item_category", "session_end_us"), cuts, by).select(
+        *keys, F.col("session_end_us").alias("us"), F.col("times_viewed_this_category").alias("_own")
     )
-    own = F.col("times_viewed_this_category")
-    views = ev_cat.where((F.col("event_type") == VIEW) & F.col("category").isNotNull())
-    for start in range(0, len(names), CATEGORY_BATCH):
-        batch = {f"k{i}": n for i, n in enumerate(names[start : start + CATEGORY_BATCH])}
-        changes = views.where(F.col("category").isin(*batch.values())).select(
-            *by, "us", *[one_if(F.col("category") == n).alias(c) for c, n in batch.items()]
-        )
-        counted = history_at(changes, out, by, cuts, sums=list(batch))
-        seen = sum((one_if(F.col(c) > 0) for c in batch), F.col("_seen"))
-        lower = sum((one_if((F.col(c) > 0) & (F.col(c) < own)) for c in batch), F.col("_lower"))
-        out = counted.withColumns({"_seen": seen, "_lower": lower}).drop(*batch)
-    rank = F.when(own > 0, guarded_ratio(F.col("_lower"), F.col("_seen") - 1)).otherwise(0.0)
-    return out.select(*by, "session_seq", "item_id", rank.alias("category_affinity_percentile"))
+    views = ev_cat.where((F.col("event_type") == VIEW) & F.col("category").isNotNull()).select(*by, "category", "us")
+    levels = running(
+        cuts.add_piece(views, "us"), [*by, "category"], [F.col("us")], cuts, sums={"_level": F.lit(1)}
+    ).select(*by, "us", "_level", F.lit(1).alias("_reached"))
+    first = F.struct(F.lit(True).alias("all"), F.lit(1).cast("long").alias("level"))
+    same = F.struct(F.lit(False).alias("all"), F.col("_own").cast("long").alias("level"))
+    asked = F.array_compact(F.array(first, F.when(F.col("_own") > 0, same)))
+    probes = own.select(*keys, "us", "_own", F.explode(asked).alias("_ask")).select(
+        *keys, "us", "_own", F.col("_ask.all").alias("_all"), F.col("_ask.level").alias("_level")
+    )
+    answered = history_at(levels, probes, [*by, "_level"], cuts, sums=["_reached"])
+    both = answered.groupBy(*keys).agg(
+        F.max("_own").alias("_own"),
+        F.max(F.when(F.col("_all"), F.col("_reached"))).alias("_seen"),
+        F.max(F.when(~F.col("_all"), F.col("_reached"))).alias("_at_least"),
+    )
+    lower = F.col("_seen") - F.col("_at_least")
+    rank = F.when(F.col("_own") > 0, guarded_ratio(lower, F.col("_seen") - 1)).otherwise(0.0)
+    return both.select(*keys, rank.alias("category_affinity_percentile"))
 
 
 def session_item_mix(ev_cat: DataFrame, by: Sequence[str] = USER) -> DataFrame:
@@ -330,7 +335,7 @@ def train_item_table(train: DataFrame, catalog: DataFrame) -> DataFrame:
     ):
         items = items.join(table, "item_id", "left")  # both sides unique on item_id
     by_category = join_lookup(
-        catalog.select("item_id", "category"), category_conversion(train, catalog), "category"
+        catalog.select("item_id", "category"), category_conversion(train, catalog), "category", computed=True
     )
     return items.join(by_category.drop("category"), "item_id", "full")
 

@@ -255,7 +255,7 @@ def precision_at_per_segment(
     )
     ks = {p: F.floor(F.col("_n") * F.lit(p) / F.lit(100.0)).cast("long") for p in percents}
     taken = {p: F.when(k > 0, k).otherwise(F.col("_n")) for p, k in ks.items()}
-    placed = join_lookup(ranked, bounds, segment, "inner").withColumn(
+    placed = join_lookup(ranked, bounds, segment, "inner", computed=True).withColumn(
         "_place", F.col("rank") - F.col("_before")
     )
     hits = placed.groupBy(segment, "_n", "total_positives").agg(

@@ -7,6 +7,9 @@ tie-breaker within one instant. Sessionizers add:
 ``session_id``        ``<user>_session_0001``
 ``session_start_us``  instant of the session's first event
 
+Events without a user belong to no session: they are kept, with nulls in these columns, and take part in no
+window, so that their number does not matter.
+
 The start is carried along the same ordered pass as the number, so a later split by session start
 needs no join.
 """
@@ -112,14 +115,21 @@ def _named(df: DataFrame, kind: str) -> DataFrame:
     return df.withColumn("session_id", session_name(F.col("user_id"), F.col("session_seq"), kind))
 
 
+def _with_anonymous(done: DataFrame, events: DataFrame) -> DataFrame:
+    """The rows without a user, added with nulls in the new columns."""
+    return done.unionByName(events.where(F.col("user_id").isNull()), allowMissingColumns=True)
+
+
 def gap_to_previous(
     events: DataFrame, skew: SkewParams = SkewParams(), cuts: Cuts | None = None
 ) -> DataFrame:
-    """Add ``gap_us``, the time since the user's previous event (null on the first)."""
-    cuts = cuts or time_cuts(events, "user_id", "us", skew)
-    pieces = cuts.add_piece(events, "us")
+    """Add ``gap_us``, the time since the user's previous event (null on the first, and without a user)."""
+    named = events.where(F.col("user_id").isNotNull())
+    cuts = cuts or time_cuts(named, "user_id", "us", skew)
+    pieces = cuts.add_piece(named, "us")
     out = neighbours(pieces, ["user_id"], _order(), "us", cuts, previous="_prev")
-    return out.withColumn("gap_us", F.col("us") - F.col("_prev")).drop("_prev", PIECE)
+    gaps = out.withColumn("gap_us", F.col("us") - F.col("_prev")).drop("_prev", PIECE)
+    return _with_anonymous(gaps, events)
 
 
 def sessions_by_gap(
@@ -133,15 +143,16 @@ def sessions_by_gap(
     A gap of exactly the threshold stays inside the session.
     """
     events = _ready(events)
-    cuts = cuts or time_cuts(events, "user_id", "us", skew)
+    named = events.where(F.col("user_id").isNotNull())
+    cuts = cuts or time_cuts(named, "user_id", "us", skew)
     threshold = params.inactivity_minutes * MINUTE_US
     numbered = _number_sessions(
-        cuts.add_piece(events, "us"),
+        cuts.add_piece(named, "us"),
         cuts,
         carried=F.col("us"),
         starts=lambda previous, us: us - previous > F.lit(threshold),
     )
-    return _named(numbered, "session")
+    return _with_anonymous(_named(numbered, "session"), events)
 
 
 def boundary_flags(events: DataFrame, params: SessionParams = SessionParams()) -> DataFrame:
@@ -156,14 +167,26 @@ def sessions_by_intent(
 ) -> DataFrame:
     """A boundary event closes its session; the row after it opens the next one."""
     events = _ready(events)
-    cuts = cuts or time_cuts(events, "user_id", "us", skew)
+    named = events.where(F.col("user_id").isNotNull())
+    cuts = cuts or time_cuts(named, "user_id", "us", skew)
     numbered = _number_sessions(
-        cuts.add_piece(events, "us"),
+        cuts.add_piece(named, "us"),
         cuts,
         carried=F.col("event_type").isin(*params.boundary_events),
         starts=lambda previous, us: previous,
     )
-    return _named(numbered, "intent_session")
+    return _with_anonymous(_named(numbered, "intent_session"), events)
+
+
+def shifted_boundary(events: DataFrame, params: SessionParams = SessionParams(), skew: SkewParams = SkewParams()) -> DataFrame:
+    """Add ``starts``: the row before was a boundary event, or there is none. Null without a user."""
+    out = sessions_by_intent(events, params, skew)
+    named = out.where(F.col("user_id").isNotNull())
+    cuts = time_cuts(named, "user_id", "us", skew)
+    order = [F.col("session_seq"), *_order()]
+    before = neighbours(cuts.add_piece(named, "us"), ["user_id"], order, "session_seq", cuts, previous="_before")
+    started = F.col("_before").isNull() | (F.col("_before") < F.col("session_seq"))
+    return _with_anonymous(before.withColumn("starts", started).drop("_before", PIECE), out)
 
 
 def session_table(sessionized: DataFrame, by: Sequence[str] = ("user_id",)) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartsight.params import SkewParams
+from cartsight.sources.tables import settle
 
 PIECE = "_piece"
 _CUTS = "_cuts"
@@ -93,6 +94,16 @@ def time_cuts(df: DataFrame, key: str, at: str, skew: SkewParams) -> Cuts:
 NO_CUTS = Cuts("", None, 1)
 
 
+BROADCAST_BYTES = 32 << 20
+_WIDTHS = {"string": 64, "binary": 64, "array": 256, "map": 256, "struct": 256}
+
+
+def broadcast_rows(lookup: DataFrame, most: int) -> int:
+    """Rows that may be broadcast: at most ``most``, and no more than ``BROADCAST_BYTES`` by the width of the columns."""
+    width = sum(_WIDTHS.get(f.dataType.typeName(), 16) for f in lookup.schema)
+    return min(most, BROADCAST_BYTES // max(width, 1))
+
+
 def join_lookup(
     df: DataFrame,
     lookup: DataFrame,
@@ -100,20 +111,29 @@ def join_lookup(
     how: str = "left",
     max_broadcast_rows: int = 200_000,
     skew: SkewParams = SkewParams(),
+    computed: bool = False,
 ) -> DataFrame:
     """Join to a table that is unique on ``key``, whatever its size and however hot a key is.
 
-    Up to ``max_broadcast_rows`` (counted, reading no further) the lookup is broadcast. Beyond
+    A lookup within the bound of rows and bytes (counted, reading no further) is broadcast. Beyond
     that the rows of hot keys meet a broadcast of just those keys' lookup rows, and all other rows
-    are shuffled on the key.
+    are shuffled on the key. Rows with a null key have no match: they are added without a shuffle for
+    ``left`` and left out for ``inner``. A ``computed`` lookup is stored first, so that counting it
+    does not compute it twice.
     """
-    n = lookup.select(key).limit(max_broadcast_rows + 1).count()
-    if n <= max_broadcast_rows:
+    if computed:
+        lookup = settle(lookup)
+    bound = broadcast_rows(lookup, max_broadcast_rows)
+    if lookup.select(key).limit(bound + 1).count() <= bound:
         return df.join(F.broadcast(lookup), key, how)
-    hot = hot_keys(df, key, skew)
-    if not hot:
-        return df.join(lookup, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    hot_part = df.where(is_hot).join(F.broadcast(lookup.where(F.col(key).isin(hot))), key, how)
-    cold_part = df.where(~is_hot).join(lookup, key, how)
-    return hot_part.unionByName(cold_part)
+    known = df.where(F.col(key).isNotNull())
+    hot = hot_keys(known, key, skew)
+    if hot:
+        is_hot = F.col(key).isin(hot)
+        joined = known.where(is_hot).join(F.broadcast(lookup.where(is_hot)), key, how)
+        joined = joined.unionByName(known.where(~is_hot).join(lookup, key, how))
+    else:
+        joined = known.join(lookup, key, how)
+    if how != "left":
+        return joined
+    return joined.unionByName(df.where(F.col(key).isNull()), allowMissingColumns=True)

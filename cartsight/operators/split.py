@@ -94,7 +94,7 @@ def with_session_start(sessionized: DataFrame) -> DataFrame:
     The starts are pre-aggregated to one row per session.
     """
     starts = sessionized.groupBy("session_id").agg(F.min("us").alias("session_start_us"))
-    return join_lookup(sessionized, starts, "session_id", "inner")
+    return join_lookup(sessionized, starts, "session_id", "inner", computed=True)
 
 
 def events_of_sessions(events: DataFrame, sessions: DataFrame) -> DataFrame:

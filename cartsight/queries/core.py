@@ -10,6 +10,7 @@ from cartsight.operators import sessions as S
 from cartsight.operators.history import history_at
 from cartsight.operators.skew import SkewParams, join_lookup, time_cuts
 from cartsight.operators.split import (
+    assert_no_leakage,
     ends_of,
     events_of_sessions,
     split_calendar,
@@ -83,16 +84,24 @@ def e4(spark, d):
 @query(
     "e5_leakage_assertions",
     with_sql(
-        sql_events(30, split=True),
+        f"""{sql_events(30, split=True)},
+planted AS (SELECT session_start_us, CASE WHEN split = 'val' AND user_id % 7 = 0 THEN 'train'
+    WHEN split = 'train' AND user_id % 7 = 1 THEN 'val' WHEN split = 'val' AND user_id % 7 = 2 THEN 'test'
+    ELSE split END AS split FROM ev)""",
         """SELECT count(*) FILTER (WHERE split = 'train' AND session_start_us > train_end_us) AS late_train,
   count(*) FILTER (WHERE split = 'val' AND session_start_us <= train_end_us) AS early_val,
   count(*) FILTER (WHERE split = 'test' AND session_start_us <= val_end_us) AS early_test,
   CASE WHEN count(*) FILTER (WHERE split = 'train') = 0 THEN 1 ELSE 0 END AS empty_train
-FROM ev, calendar""",
+FROM planted, calendar""",
     ),
 )
 def e5(spark, d):
-    return split_violations(split_events(spark, d, 30), ends_of(clicks(spark, d)))
+    """Counts on a split into which some users' events are put wrongly; a sound split passes the assertion."""
+    sound, ends = settle(split_events(spark, d, 30)), ends_of(clicks(spark, d))
+    assert_no_leakage(sound, ends)
+    user, name = F.col("user_id") % 7, F.col("split")
+    wrong = F.when((name == "val") & (user == 0), "train").when((name == "train") & (user == 1), "val")
+    return split_violations(sound.withColumn("split", wrong.when((name == "val") & (user == 2), "test").otherwise(name)), ends)
 
 
 # --- joins ------------------------------------------------------------------------------------------

@@ -366,7 +366,7 @@ def d18(spark, d):
 
 _HISTORY = """SELECT m.user_id, m.session_seq, count(e.us) AS n, max(e.us) AS last_us,
     count(DISTINCT e.item_id) FILTER (WHERE e.event_type = 'view') AS items
-  FROM middle m LEFT JOIN {} e ON e.user_id = m.user_id AND e.us < m.t GROUP BY ALL"""
+  FROM middle m LEFT JOIN {} e ON e.user_id = m.user_id AND e.us < m.t + {} GROUP BY ALL"""
 
 
 @query(
@@ -377,15 +377,22 @@ middle AS (SELECT p.user_id, p.session_seq, p.t FROM points p
   JOIN (SELECT user_id, CAST(ceil(max(session_seq) / 2e0) AS BIGINT) AS session_seq
         FROM points GROUP BY user_id) h USING (user_id, session_seq)),
 truncated AS (SELECT s.* FROM sess s JOIN middle m ON m.user_id = s.user_id AND s.us < m.t),
-whole AS ({_HISTORY.format('sess')}),
-cut AS ({_HISTORY.format('truncated')})""",
-        """SELECT count(*) AS n_changed FROM (
+whole AS ({_HISTORY.format('sess', 0)}),
+cut AS ({_HISTORY.format('truncated', 0)}),
+ahead AS ({_HISTORY.format('sess', DAY_US)}),
+ahead_cut AS ({_HISTORY.format('truncated', DAY_US)})""",
+        """SELECT (SELECT count(*) FROM (
   (SELECT * FROM whole EXCEPT ALL SELECT * FROM cut)
-  UNION ALL (SELECT * FROM cut EXCEPT ALL SELECT * FROM whole)) d""",
+  UNION ALL (SELECT * FROM cut EXCEPT ALL SELECT * FROM whole)) d) AS n_changed,
+(SELECT count(*) FROM (
+  (SELECT user_id, session_seq, n, last_us FROM ahead EXCEPT ALL SELECT user_id, session_seq, n, last_us FROM ahead_cut)
+  UNION ALL (SELECT user_id, session_seq, n, last_us FROM ahead_cut
+    EXCEPT ALL SELECT user_id, session_seq, n, last_us FROM ahead)) d) AS n_changed_ahead""",
     ),
 )
 def d19(spark, d):
-    """History features of each user's middle session, with and without all later events."""
+    """History features of each user's middle session, with and without all later events; and as a counter-example
+    a build that looks a day ahead."""
     ev, sessions, cuts = _detailed(spark, d)
     middle = sessions.groupBy("user_id").agg(
         F.ceil(F.max("session_seq") / 2).cast("long").alias("session_seq")
@@ -395,8 +402,16 @@ def d19(spark, d):
     def build(events):
         return FE.session_history(events, ends, cuts)
 
-    changed = Q.leakage_differences(ev, build, ends, ["user_id", "session_seq"])
-    return changed.agg(F.count(F.lit(1)).alias("n_changed"))
+    def ahead(events):
+        moved = ends.select("user_id", "session_seq", (F.col("session_end_us") + DAY_US).alias("t"))
+        seen = moved.join(events.select("user_id", "us"), "user_id", "left").where("us IS NULL OR us < t")
+        found = seen.groupBy("user_id", "session_seq").agg(F.count("us").alias("n"), F.max("us").alias("last_us"))
+        return moved.select("user_id", "session_seq").join(found, ["user_id", "session_seq"], "left").na.fill(0, ["n"])
+
+    keys = ["user_id", "session_seq"]
+    rows = [Q.leakage_differences(ev, b, ends, keys).agg(F.count(F.lit(1)).alias("n")).first()["n"] for b in (build, ahead)]
+    return spark.createDataFrame([tuple(rows)], "n_changed long, n_changed_ahead long")
+
 
 
 @query(
@@ -423,7 +438,8 @@ long AS (SELECT split, unnest(['views_count_7d', 'unique_items_viewed_7d', 'sess
     session_length_minutes]) AS v FROM features),
 stats AS (SELECT split, column_name, avg(v) AS m, stddev_pop(v) AS s, min(v) AS min, max(v) AS max
   FROM long GROUP BY ALL)""",
-        """SELECT a.split, a.column_name, a.min, a.max, abs(a.m - t.m) > 3 * t.s AS drifted
+        """SELECT a.split, a.column_name, round(a.m, 6) + 0e0 AS mean, round(a.s, 6) + 0e0 AS stddev, a.min, a.max,
+  abs(a.m - t.m) > 3 * t.s AS drifted
 FROM stats a JOIN stats t ON t.column_name = a.column_name AND t.split = 'train'""",
     ),
 )
@@ -431,42 +447,58 @@ def d21(spark, d):
     split = settle(split_events(spark, d, 30))
     features = FE.build_features(split, catalog(spark, d), ("split", "user_id"))
     drift = Q.distribution_drift(features, DRIFT_COLUMNS)
-    return drift.select("split", "column_name", "min", "max", "drifted")
+    six = [(F.round(c, 6) + F.lit(0.0)).alias(c) for c in ("mean", "stddev")]
+    return drift.select("split", "column_name", *six, "min", "max", "drifted")
 
 
 @query(
     "d22_non_finite",
     with_sql(
-        sql_sessions(),
-        "SELECT "
-        + ", ".join(["'duration_seconds' AS column_name"])
-        + ", count(*) FILTER (WHERE isnan(duration_seconds) OR isinf(duration_seconds))"
-        + " AS n_non_finite FROM sess",
+        f"""{sql_features(480, split=True)},
+planted AS MATERIALIZED (SELECT * REPLACE (
+    CASE WHEN item_id % 10 = 3 THEN CAST('nan' AS DOUBLE) ELSE item_current_price END AS item_current_price,
+    CASE WHEN item_id % 10 = 4 THEN CAST('inf' AS DOUBLE) WHEN item_id % 10 = 5 THEN CAST('-inf' AS DOUBLE)
+      ELSE view_to_scroll_ratio_7d END AS view_to_scroll_ratio_7d) FROM features)""",
+        "\nUNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE isnan({c}::DOUBLE) OR isinf({c}::DOUBLE)) AS n_non_finite FROM planted"
+            for c in FE.feature_columns()
+            if c != "item_category"
+        ),
     ),
 )
 def d22(spark, d):
-    split = split_events(spark, d)
-    Q.assert_same_schema(
-        split.where(F.col("split") == "train"), split.where(F.col("split") == "val")
-    )
-    return Q.non_finite_counts(clicks(spark, d), ["duration_seconds"])
+    """All numeric features, with NaN and infinities put into two of them."""
+    features = FE.build_features(settle(split_events(spark, d)), catalog(spark, d), ("split", "user_id"))
+    Q.assert_same_schema(features.where(F.col("split") == "train"), features.where(F.col("split") == "val"))
+    digit = F.col("item_id") % 10
+    nan, inf = F.lit(float("nan")), F.lit(float("inf"))
+    ratio = F.col("view_to_scroll_ratio_7d")
+    planted = features.withColumn("item_current_price", F.when(digit == 3, nan).otherwise(F.col("item_current_price")))
+    planted = planted.withColumn("view_to_scroll_ratio_7d", F.when(digit == 4, inf).when(digit == 5, -inf).otherwise(ratio))
+    return Q.non_finite_counts(planted, [c for c in FE.feature_columns() if c != "item_category"])
 
 
 @query(
     "d23_session_checks",
     with_sql(
-        sql_sessions(),
-        """SELECT (SELECT count(DISTINCT session_id) FROM sess) AS n_sessions,
+        f"""{sql_sessions()},
+planted AS (SELECT user_id, session_seq, us + CASE WHEN user_id % 5 = 2 AND session_seq = 1 THEN 864000000000 ELSE 0 END AS us,
+  CASE WHEN user_id % 5 = 1 THEN 'shared_' || session_seq ELSE session_id END AS session_id FROM sess)""",
+        """SELECT (SELECT count(DISTINCT session_id) FROM planted) AS n_sessions,
   CAST(0 AS BIGINT) AS empty_sessions,
-  (SELECT count(*) FROM (SELECT session_id FROM sess GROUP BY 1
+  (SELECT count(*) FROM (SELECT session_id FROM planted GROUP BY 1
     HAVING count(DISTINCT user_id) > 1) a) AS shared_ids,
   (SELECT count(*) FROM (SELECT user_id, end_us, lead(start_us) OVER (PARTITION BY user_id
     ORDER BY session_seq) AS next_us FROM (SELECT user_id, session_seq, min(us) AS start_us,
-    max(us) AS end_us FROM sess GROUP BY ALL) s) b WHERE next_us < end_us) AS overlapping_sessions""",
+    max(us) AS end_us FROM planted GROUP BY ALL) s) b WHERE next_us < end_us) AS overlapping_sessions""",
     ),
 )
 def d23(spark, d):
-    return S.session_violations(settle(sessionized(spark, d)))
+    """Counts on sessions of which some share ids, and some first ones are moved by ten days."""
+    ev, user, seq = settle(sessionized(spark, d)), F.col("user_id") % 5, F.col("session_seq")
+    shared = F.when(user == 1, F.concat(F.lit("shared_"), seq.cast("string"))).otherwise(F.col("session_id"))
+    moved = F.col("us") + F.when((user == 2) & (seq == 1), F.lit(10 * DAY_US)).otherwise(F.lit(0))
+    return S.session_violations(settle(ev.withColumns({"session_id": shared, "us": moved})))
 
 
 @query(

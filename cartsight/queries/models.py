@@ -309,20 +309,54 @@ def _requests(spark, d):
     return join_lookup(rows, items, "item_id", "inner")
 
 
+def _planted_rules() -> list[tuple[str, str, str, str]]:
+    """(rule, column, SQL of a value that breaks it, SQL of what a valid row meets), in the order of the rules."""
+    out = [(f"{c} is required", c, "NULL", f"{c} IS NOT NULL") for c in K.REQUIRED_COLUMNS]
+    out += [(f"{c} must be >= 0", c, "-1", f"{c} >= 0") for c in K.RECENCY_COLUMNS + K.COUNT_COLUMNS + K.DURATION_COLUMNS]
+    out += [(f"{c} must be in [0, 1]", c, "2", f"{c} BETWEEN 0 AND 1") for c in K.RATIO_COLUMNS]
+    out += [(f"{c} must be > 0", c, "0", f"{c} > 0") for c in K.PRICE_COLUMNS]
+    out.append(("item_discount_pct must be in [0, 100]", "item_discount_pct", "101", "item_discount_pct BETWEEN 0 AND 100"))
+    return [*out, ("session_item_count must be >= 1", "session_item_count", "0", "session_item_count >= 1")]
+
+
+PLANTED = _planted_rules()
+GIVEN = (
+    "user_id", "item_id", "item_price", "item_base_price", "item_discount_pct", "item_category", "days_since_last_view",
+    "view_count_7d", "cart_to_purchase_ratio",
+)
+
+
+def _sql_planted() -> str:
+    """``planted``: the requests with their defaults, each k-th row breaking the k-th rule beside its own faults."""
+    zero = {c: "0" for c in K.COUNT_COLUMNS + K.RATIO_COLUMNS + K.DURATION_COLUMNS + ("item_discount_pct",)}
+    zero["session_item_count"] = "1"
+    columns = []
+    for c in dict.fromkeys(c for _, c, _, _ in PLANTED):
+        value = f"coalesce({c}, {zero[c]})" if c in GIVEN and c in zero else c if c in GIVEN else zero.get(c, "NULL::DOUBLE")
+        cases = " ".join(f"WHEN {k} THEN {bad}" for k, (_, other, bad, _) in enumerate(PLANTED) if other == c)
+        columns.append(f"CASE (user_id * 7 + item_id * 13 + session_seq) % {len(PLANTED) + 1} {cases} ELSE {value} END AS {c}")
+    return f"{SQL_REQUESTS},\nplanted AS (SELECT session_seq, {', '.join(columns)} FROM requests)"
+
+
 @query(
     "p13_row_validation",
     with_sql(
-        SQL_REQUESTS,
-        """SELECT user_id, item_id, session_seq, reject_reason = '' AS valid,
-  nullif(reject_reason, '') AS reject_reason FROM (SELECT *, concat_ws('; ',
-    CASE WHEN days_since_last_view < 0 THEN 'days_since_last_view must be >= 0' END,
-    CASE WHEN cart_to_purchase_ratio > 1 THEN 'cart_to_purchase_ratio must be in [0, 1]' END)
-  AS reject_reason FROM requests) r""",
+        _sql_planted(),
+        "SELECT user_id, item_id, session_seq, reject_reason = '' AS valid, nullif(reject_reason, '') AS reject_reason "
+        "FROM (SELECT *, concat_ws('; ', "
+        + ", ".join(f"CASE WHEN NOT ({ok}) THEN '{name}' END" for name, _, _, ok in PLANTED)
+        + ") AS reject_reason FROM planted) r",
     ),
 )
 def p13(spark, d):
-    checked = K.validate(K.with_defaults(_requests(spark, d)))
-    return checked.select(*KEYS, "valid", "reject_reason")
+    """Rows that break each of the rules, beside rows that break none."""
+    rows = K.with_defaults(_requests(spark, d))
+    code = (F.col("user_id") * 7 + F.col("item_id") * 13 + F.col("session_seq")) % (len(PLANTED) + 1)
+    rows = rows.withColumn("_code", code)
+    for k, (_, column, bad, _) in enumerate(PLANTED):
+        value = F.expr(bad).cast(rows.schema[column].dataType)
+        rows = rows.withColumn(column, F.when(F.col("_code") == k, value).otherwise(F.col(column)))
+    return K.validate(rows).select(*KEYS, "valid", "reject_reason")
 
 
 @query(
@@ -349,18 +383,29 @@ def p14(spark, d):
 @query(
     "k1_align_features",
     with_sql(
-        SQL_REQUESTS,
-        """SELECT user_id, item_id, session_seq, CAST(view_count_7d AS DOUBLE) AS view_count_7d,
-  item_price, CAST(0 AS DOUBLE) AS cart_count_30d,
-  CAST(item_category = 'ECONOMY' AS DOUBLE) AS category_ECONOMY,
-  CAST(item_category = 'PROMO' AS DOUBLE) AS category_PROMO FROM requests""",
+        f"{sql_features(480, split=True)}, train AS (SELECT DISTINCT item_category FROM features WHERE split = 'train')",
+        "SELECT split, user_id, item_id, session_seq, "
+        + ", ".join(
+            f"{'0e0' if c == 'views_count_1d' else f'coalesce(CAST({c} AS DOUBLE), 0e0)'} AS {c}" for c in M.numeric_columns()
+        )
+        + ", (SELECT count(*) FROM train) AS n_dummies,"
+        " CASE WHEN item_category IN (SELECT item_category FROM train) THEN 1e0 ELSE 0e0 END AS dummies_set FROM features",
     ),
 )
 def k1(spark, d):
-    """Model columns in order; a column that the rows lack becomes 0."""
-    wanted = {"view_count_7d": None, "item_price": None, "cart_count_30d": None}
-    wanted |= K.category_dummies(["ECONOMY", "PROMO"])
-    return K.align(_requests(spark, d), wanted, KEYS)
+    """The columns of a stored model, in its order; a column that the rows lack becomes 0."""
+    features, model = _linear(spark, d)
+    path = scratch(spark, "model")
+    M.save_model(model, path)
+    names = M.feature_names(M.load_model(path))
+    numeric = M.numeric_columns()
+    kinds = [n.partition("=")[2] for n in names[len(numeric) :]]
+    dummies = K.category_dummies(kinds)
+    rows = K.align(features.drop("views_count_1d"), {n: None for n in numeric} | dummies, ["split", *KEYS])
+    total = sum((F.col(f"`{n}`") for n in dummies), F.lit(0.0))
+    return rows.select(
+        "split", *KEYS, *numeric, F.lit(len(kinds)).cast("long").alias("n_dummies"), total.alias("dummies_set")
+    )
 
 
 def _probabilities(spark, d):
@@ -717,24 +762,48 @@ def _live(spark, d):
     return T.read_stream(spark, d, schema, only="events.parquet")
 
 
+@query(
+    "s7_latest_model",
+    """SELECT max(strftime(ts, '%Y%m%d')) AS version, true AS is_last_path, true AS loads FROM events""",
+)
+def s7(spark, d):
+    """The newest of the models stored under their versions, here the first and the last day of the events."""
+    days = spark.read.parquet(f"{d}/events.parquet").agg(*(F.date_format(f("ts"), "yyyyMMdd") for f in (F.min, F.max))).first()
+    _, model = _linear(spark, d)
+    folder = scratch(spark, "models")
+    stored = [(day, f"{folder}/{day}") for day in days]
+    for _, path in stored:
+        M.save_model(model, path)
+    last = M.latest_model(spark.createDataFrame(stored, "version string, path string")).first()
+    loads = len(M.load_model(last["path"]).stages) == len(model.stages)
+    return spark.createDataFrame(
+        [(last["version"], last["path"] == stored[1][1], loads)], "version string, is_last_path boolean, loads boolean"
+    )
+
+
 @query(
     "t1_stream_scoring",
     with_sql(
-        SQL_CLICKS,
-        """SELECT user_id, item_id, CAST(score >= 0.5 AS INTEGER) AS prediction, score AS probability,
-"""
-        + SQL_BAND
-        + """, 'v1' AS model_version FROM (SELECT user_id, item_id,
-  ((item_id * 13 + user_id * 3) % 101) / 101e0 AS score FROM clickstream) s""",
+        sql_examples(480, split=True),
+        "SELECT user_id, item_id, true AS is_probability, true AS decided, 'logistic-1' AS model_version FROM examples",
     ),
 )
 def t1(spark, d):
-    rows = _live(spark, d).select(
-        "user_id", F.get_json_object("props", "$.k").cast("long").alias("item_id")
+    """All examples as a stream of feature rows, scored by a stored model."""
+    features, model = _linear(spark, d)
+    path, folder = scratch(spark, "model"), scratch(spark, "live")
+    M.save_model(model, path)
+    features.drop("split").write.parquet(folder)
+    live = T.read_stream(spark, folder, spark.read.parquet(folder).schema)
+    out = T.drain(T.score_stream_with_model(M.load_model(path), live, "logistic-1"), scratch(spark, "stream"), scratch(spark, "state"))
+    p = F.col("probability")
+    return out.select(
+        "user_id",
+        "item_id",
+        F.coalesce(p.between(0.0, 1.0), F.lit(False)).alias("is_probability"),
+        (F.col("prediction") == F.when(p >= 0.5, 1).otherwise(0)).alias("decided"),
+        "model_version",
     )
-    score = ((F.col("item_id") * 13 + F.col("user_id") * 3) % 101) / F.lit(101.0)
-    stream = T.score_stream(rows, score, "v1")
-    return T.drain(stream, scratch(spark, "stream"), scratch(spark, "state"))
 
 
 @query(

@@ -21,7 +21,7 @@ from cartsight.operators.ranking import by_score, precision_at, with_global_rank
 from cartsight.operators.skew import SkewParams, time_cuts
 from cartsight.operators.split import events_of_sessions, split_name, ends_of
 from cartsight.params import DAY_US
-from cartsight.plans.training import latest_model, target_and_features, zero_missing
+from cartsight.plans.training import target_and_features, zero_missing
 from cartsight.queries.base import (
     SQL_CATALOG,
     SQL_CLICKS,
@@ -94,19 +94,6 @@ def s4(spark, d):
     return A.group_counts(read_table(spark, path), "session_id")
 
 
-@query(
-    "s7_latest_model",
-    """SELECT max(strftime(ts, '%Y%m%d')) AS version,
-  max('models/' || strftime(ts, '%Y%m%d')) AS path FROM events""",
-)
-def s7(spark, d):
-    """A registry with one model version per day of events."""
-    events = spark.read.parquet(f"{d}/events.parquet")
-    version = F.date_format("ts", "yyyyMMdd").alias("version")
-    registry = events.select(version).distinct()
-    return latest_model(registry.withColumn("path", F.concat(F.lit("models/"), "version")))
-
-
 @query(
     "s8_save_predictions",
     with_sql(sql_scored(), "SELECT user_id, item_id, session_seq, label, score FROM scored"),
@@ -359,14 +346,7 @@ def w3(spark, d):
 )
 def w4(spark, d):
     """A row starts an intent session when the row before it was a boundary, or there is none."""
-    out = S.sessions_by_intent(clicks(spark, d))
-    firsts = out.groupBy("user_id", "session_seq").agg(
-        F.min(F.struct("us", "event_id")).alias("f")
-    )
-    started = firsts.select(F.col("f.event_id").alias("event_id"), F.lit(True).alias("starts"))
-    return out.select("event_id").join(started, "event_id", "left").select(
-        "event_id", F.coalesce("starts", F.lit(False)).alias("starts")
-    )
+    return S.shifted_boundary(clicks(spark, d)).select("event_id", "starts")
 
 
 @query(

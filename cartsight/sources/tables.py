@@ -106,7 +106,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):  # local-cluster has executors of its own
         raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="cartsight-"))
     return sc.getCheckpointDir().rstrip("/")
