@@ -5,7 +5,8 @@ Scored tables carry ``label`` (0/1) and ``score`` (double). Two shapes of work a
 * Metrics over distinct scores (average precision, ROC area, curves) first aggregate to one row per
   score, then take running sums. The scores are cut into pieces at driver-held quantiles, so no
   task orders the whole table.
-* Metrics over row positions (top k percent, exact percentiles) need global row numbers. Rows are
+* The top k percent follows from the running counts per score; rows are ordered only where k falls among ties.
+* Metrics over row positions (exact percentiles, top k per segment) need global row numbers. Rows are
   range-partitioned and sorted on a total order, numbered inside their partition, and shifted by the
   row counts of the partitions before (one number per partition).
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -132,7 +134,9 @@ def score_curve(scored: DataFrame, segment: Sequence[str] = ()) -> DataFrame:
             F.count(F.lit(1)).alias("n"), F.sum(label).alias("pos")
         )
     )
-    cuts = value_cuts(grouped, "score")
+    # pieces of about a million scores, as many as there are shuffle partitions at least
+    parts = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = value_cuts(grouped, "score", min(8192, max(128, parts, grouped.count() // 1_000_000)))
     return running(
         cuts.add_piece(grouped),
         segment,
@@ -198,21 +202,44 @@ def precision_at(
 ) -> DataFrame:
     """Precision, positives found, recall and lift in the top k percent, one row per percent.
 
-    When k rounds down to 0 the whole table is taken instead and ``whole_table`` is set.
+    When k rounds down to 0 the whole table is taken instead and ``whole_table`` is set. The counts per score tell at
+    which score k is reached; only the rows tied at such a score are ordered.
     """
-    ranked = with_global_rank(scored.select("score", "label", *tie_break), by_score(tie_break))
-    total = ranked.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("pos")
+    curve = settle(score_curve(scored))
+    total = curve.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("pos"), F.lit(0)).alias("pos")
     ).first()
     ks = {p: top_count(total["n"], p) for p in percents}
-    hits = ranked.agg(
-        *[
-            F.coalesce(
-                F.sum(F.when(F.col("rank") <= (k or total["n"]), F.col("label"))), F.lit(0)
-            ).cast("long").alias(f"top_{p}")
-            for p, k in ks.items()
-        ]
-    )
+    reached = F.struct("n_at", "pos_at", "n", "pos", "score")
+    edges = curve.agg(
+        *[F.min(F.when(F.col("n_at") >= (k or total["n"]), reached)).alias(f"e_{p}") for p, k in ks.items()]
+    ).first()
+    # rows wanted of those at the edge score; all of them need no order
+    wanted = {p: (ks[p] or total["n"]) - (e["n_at"] - e["n"]) for p in percents if (e := edges[f"e_{p}"])}
+    tied = {p: edges[f"e_{p}"]["score"] for p, n in wanted.items() if n < edges[f"e_{p}"]["n"]}
+    parts = dict.fromkeys(percents, 0)
+    if tied:
+        at_edge = [F.col("score").eqNullSafe(F.lit(v)) for v in set(tied.values())]
+        some = reduce(Column.__or__, at_edge)
+        rows = scored.where(some).select("score", "label", *tie_break)
+        ranked = with_global_rank(rows, by_score(tie_break))
+        first = {r["score"]: r["r"] for r in ranked.groupBy("score").agg(F.min("rank").alias("r")).collect()}
+        found = ranked.agg(
+            *[
+                F.coalesce(
+                    F.sum(F.when(F.col("score").eqNullSafe(F.lit(v)) & (F.col("rank") - first[v] < wanted[p]), F.col("label"))),
+                    F.lit(0),
+                ).alias(f"t_{p}")
+                for p, v in tied.items()
+            ]
+        ).first()
+        parts |= {p: found[f"t_{p}"] for p in tied}
+    tops = {}
+    for p in percents:
+        e = edges[f"e_{p}"]
+        tops[p] = 0 if e is None else e["pos_at"] - e["pos"] + parts[p] if p in tied else e["pos_at"]
+    one = scored.sparkSession.range(1)
+    hits = one.select(*[F.lit(int(n)).cast("long").alias(f"top_{p}") for p, n in tops.items()])
     rows = [
         F.struct(
             F.lit(p).alias("percent"),
