@@ -4,22 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartsight.functions.columns import guarded_ratio, one_if
 from cartsight.operators.ranking import exact_percentiles
 from cartsight.params import PURCHASE, VIEW
+from cartsight.sources.tables import settle
 
 
 def counts_with_share(df: DataFrame, column: str) -> DataFrame:
     """Rows and percentage per value, most frequent first.
 
-    The total is taken over the aggregated rows, one per value, not over the table.
+    The total is one number, taken over the stored rows, one per value.
     """
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy(F.lit(0)))
-    share = guarded_ratio(F.col("n") * 100, total)
+    counts = settle(df.groupBy(column).agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    share = guarded_ratio(F.col("n") * 100, F.lit(total).cast("long"))
     return counts.withColumn("percent", share).orderBy(F.col("n").desc(), column)
 
 
@@ -113,7 +114,7 @@ def first_users(events: DataFrame, n_users: int) -> DataFrame:
     """All events of the first ``n_users`` users in the order of first appearance."""
     firsts = events.groupBy("user_id").agg(F.min(F.struct("us", "event_id")).alias("f"))
     chosen = firsts.orderBy("f").limit(n_users).select("user_id")
-    return events.join(F.broadcast(chosen), "user_id", "left_semi")
+    return events.join(chosen, "user_id", "left_semi")
 
 
 def viewed_and_bought(sessionized: DataFrame) -> DataFrame:

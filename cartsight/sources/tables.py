@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,8 +113,29 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_RUNS: list[str] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/cartsight-{name}-{uuid.uuid4().hex}"
+    """A new folder in the shared folder, or inside the run's own if one is open."""
+    base = _RUNS[-1] if _RUNS else shared_folder(spark)
+    return f"{base}/cartsight-{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """While open, all stored intermediates go to one new folder, which is removed at the end.
+
+    Write results that are to stay elsewhere before the end.
+    """
+    folder = new_folder(spark, "run")
+    _RUNS.append(folder)
+    try:
+        yield folder
+    finally:
+        _RUNS.remove(folder)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from cartsight.params import ModelParams, Params, SessionParams
 from cartsight.plans.run import run
 from cartsight.plans.training import load_model
 from cartsight.sources import fixtures
-from cartsight.sources.tables import new_folder, read_table, settle, table_counts, write_table
+from cartsight.sources.tables import new_folder, read_table, run_folder, settle, table_counts, write_table
 from cartsight.streaming import online as T
 
 
@@ -51,6 +51,15 @@ def test_tables_round_trip(spark):
     assert as_set(table_counts({"a": df}), "table_name", "n_rows") == [("a", 1000)]
 
 
+def test_a_run_folder_is_removed(spark):
+    df = spark.range(10)
+    with run_folder(spark) as folder:
+        stored = settle(df)
+        assert stored.count() == 10 and len(os.listdir(folder.removeprefix("file:"))) == 1
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert settle(df).count() == 10
+
+
 def test_stream_sessions_equal_batch_sessions(spark):
     """Two files and a late sentinel that closes all sessions."""
     clicks = fixtures.clickstream(spark, SMALL).select("event_id", "user_id", "us", "timestamp", "event_type")
