@@ -216,7 +216,7 @@ def test_declared_features_hold_for_cut_users(spark):
     assert as_set(plain, *plain.columns) == as_set(cut, *plain.columns)
 
 
-def test_category_percentile_in_batches(spark, monkeypatch):
+def test_category_percentile_counts_levels(spark):
     ev = settle(
         D.with_item_details(
             S.sessions_by_gap(fixtures.clickstream(spark, SMALL), SessionParams(480)),
@@ -224,9 +224,18 @@ def test_category_percentile_in_batches(spark, monkeypatch):
         )
     )
     examples = FE.item_attributes(training_examples(ev), fixtures.catalog(spark, SMALL))
-    cuts = time_cuts(ev, "user_id", "us", PLAIN)
-    whole = D.category_percentile(ev, examples, cuts)
-    want = as_set(whole, *whole.columns)
-    monkeypatch.setattr(D, "CATEGORY_BATCH", 2)
-    assert as_set(D.category_percentile(ev, examples, cuts), *whole.columns) == want
-    assert any(r[-1] not in (0.0, 1.0) for r in want)
+    views = [r for r in ev.where("event_type = 'view' AND category IS NOT NULL").collect()]
+    want = []
+    for x in examples.collect():
+        seen = {}
+        for v in views:
+            if v.user_id == x.user_id and v.us < x.session_end_us:
+                seen[v.category] = seen.get(v.category, 0) + 1
+        own = seen.get(x.item_category, 0)
+        lower = sum(0 < n < own for n in seen.values())
+        want.append((x.user_id, x.session_seq, x.item_id, lower / (len(seen) - 1) if own and len(seen) > 1 else 0.0))
+    for skew in (PLAIN, CUT_ALL):
+        cuts = time_cuts(ev, "user_id", "us", skew)
+        got = D.category_percentile(ev, examples, cuts)
+        assert as_set(got, "user_id", "session_seq", "item_id", "category_affinity_percentile") == sorted(want)
+    assert any(0 < r[-1] < 1 for r in want)
