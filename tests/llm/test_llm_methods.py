@@ -381,6 +381,25 @@ def test_passages_find_all_repeats(spark, texts):
     assert all(len({find(i) for i in ids}) == 1 for ids in runs.values() if len(ids) > 1)
 
 
+def around(draw, *parts):
+    """Words of the parts, lists or numbers of words that occur nowhere else."""
+    return [w for p in parts for w in (p if isinstance(p, list) else [b"x%d" % draw.getrandbits(60) for _ in range(p)])]
+
+
+@pytest.mark.parametrize("size, edits, gap", [(80, 1, 10), (80, 1, 25), (200, 4, 25), (60, 0, 10)])
+def test_passage_beside_a_stray_phrase(size, edits, gap):
+    draw = random.Random(size + gap)
+    for _ in range(20):
+        passage, stray = around(draw, size), around(draw, 6)
+        edited = list(passage)
+        for e in range(edits):
+            edited[(e + 1) * size // (edits + 1)] = b"edit"
+        found = passages.verify(
+            around(draw, 100, passage, gap, stray, 90), around(draw, 100, edited, gap, stray, 90), passages.PARAMS
+        )
+        assert len(found) == 1 and found[0][0] <= 100 and found[0][1] >= 100 + size and found[0][4] >= 0.8
+
+
 # --- licences --------------------------------------------------------------------------------------
 
 
