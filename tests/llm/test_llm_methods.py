@@ -400,6 +400,18 @@ def test_passage_beside_a_stray_phrase(size, edits, gap):
         assert len(found) == 1 and found[0][0] <= 100 and found[0][1] >= 100 + size and found[0][4] >= 0.8
 
 
+@pytest.mark.parametrize("gap", [20, 40, 80])
+def test_all_passages_of_a_candidate(gap):
+    draw = random.Random(gap)
+    one, two = around(draw, 60), around(draw, 60)
+    a, b = around(draw, 50, one, gap, two, 50), around(draw, 50, one, gap, two, 50)
+    places = [(50, 110, 50, 110, 1.0), (110 + gap, 170 + gap, 110 + gap, 170 + gap, 1.0)]
+    assert sorted(passages.verify(a, b, passages.PARAMS)) == places
+    a, b = around(draw, one, gap, two), around(draw, two, gap, one)
+    crossed = [(0, 60, 60 + gap, 120 + gap, 1.0), (60 + gap, 120 + gap, 0, 60, 1.0)]
+    assert sorted(passages.verify(a, b, passages.PARAMS)) == crossed
+
+
 # --- licences --------------------------------------------------------------------------------------
 
 
