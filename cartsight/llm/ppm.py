@@ -1,8 +1,8 @@
 """Language-model scores by prediction by partial matching over bytes, beside a word-frequency base.
 
 Tokens of a text are its lower-cased words and one end. A word is spelled as its bytes and a space, the end as
-a line feed. The context of a byte is what comes before it in its token, at most ``order`` bytes, filled up with spaces on
-the left. The trie of contexts is kept as tables of (context, byte) counts, one level per context length; a level
+a line feed. The context of a byte are the last ``order`` bytes of the running text, earlier tokens included, with spaces
+before its beginning (without ``running``, those of its token only). The trie of contexts is kept as tables of (context, byte) counts, one level per context length; a level
 is got from the next longer one by dropping the oldest byte. From the longest context that was met in training:
 
 * a byte met c times among n there, with q different bytes, has probability (2c - 1) / 2n, an escape q / 2n;
@@ -11,8 +11,8 @@ is got from the next longer one by dropping the oldest byte. From the longest co
 
 A column of the documents (their language, by default) is one more symbol of every context, which is never dropped.
 The trie's probability of a token is the prior of an adaptive estimate, worth ``prior`` tokens: after t tokens of
-the text, r of them equal, the next has (r + prior * p) / (t + prior). The trie scores each distinct token once
-for the whole corpus:
+the text, r of them equal, the next has (r + prior * p) / (t + prior). The trie scores each distinct word (a token with
+the ``order`` bytes before it) once for the whole corpus:
 
 1. every block of documents (of bounded text) becomes numbered words and, per document, word numbers;
 2. words with training counts are summed over the blocks, all words in the corpus included;
@@ -69,6 +69,7 @@ BLOCKS = T.StructType(
         T.StructField("block", T.LongType()),
         T.StructField("texts", T.BinaryType()),
         T.StructField("idx", T.IntegerType()),
+        T.StructField("token", T.IntegerType()),  # number of the token, without what is before it
         T.StructField("word", T.BinaryType()),
         T.StructField("n", T.LongType()),
     ]
@@ -103,10 +104,11 @@ def unpack_texts(packed: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
 
 
 class Block:
-    """Numbered words (class byte first) of some documents, their training counts, and the texts not sent on yet."""
+    """Numbered words (class byte first, then ``tail`` bytes of the text before) of some documents, their training
+    counts, and the texts not sent on yet."""
 
-    def __init__(self, number: int) -> None:
-        self.number, self.bytes = number, 0
+    def __init__(self, number: int, tail: int = 0) -> None:
+        self.number, self.bytes, self.tail = number, 0, tail
         self.index: dict[bytes, int] = {}
         self.trained: list[np.ndarray] = []
         self.counts = np.zeros(0, np.int64)
@@ -119,6 +121,11 @@ class Block:
         words = raw.lower().split()
         words.append(END)
         index, head = self.index, bytes([kind])
+        if self.tail:
+            n, before = self.tail, b" " * self.tail
+            for at, w in enumerate(words):
+                words[at] = before + w
+                before = (before + w + b" ")[-n:]
         ids = np.fromiter((index.setdefault(head + w, len(index)) for w in words), np.int32, len(words))
         self.bytes += len(raw) + 1
         self.docs.append(doc_id)
@@ -142,6 +149,8 @@ class Block:
     def words(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         self._count()
         words = list(self.index)
+        tokens: dict[bytes, int] = {}
+        token = np.fromiter((tokens.setdefault(w[1 + self.tail :], len(tokens)) for w in words), np.int32, len(words))
         for at in range(0, len(words), BATCH_ROWS):
             part = words[at : at + BATCH_ROWS]
             yield _batch(
@@ -149,13 +158,19 @@ class Block:
                 len(part),
                 block=np.full(len(part), self.number),
                 idx=np.arange(at, at + len(part), dtype=np.int32),
+                token=token[at : at + len(part)],
                 word=part,
                 n=self.counts[at : at + len(part)],
             )
 
 
 def blocks(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", context: str | None = "lang", block_bytes: int = BLOCK_BYTES
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    context: str | None = "lang",
+    block_bytes: int = BLOCK_BYTES,
+    tail: int = 0,
 ) -> DataFrame:
     """Rows of packed texts and rows of words (idx, word, n) of every block."""
     kind = F.lit(0)
@@ -168,7 +183,7 @@ def blocks(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        block = Block(number)
+        block = Block(number, tail)
         for batch in batches:
             for at, n in slices(batch.column(2)):
                 for i, k, t in zip(*(c.slice(at, n).to_pylist() for c in batch.columns)):
@@ -180,7 +195,7 @@ def blocks(
                             yield block.take_texts(arrow)
                         yield from block.words(arrow)
                         number += 1
-                        block = Block(number)
+                        block = Block(number, tail)
         if block.docs:
             yield block.take_texts(arrow)
         yield from block.words(arrow)
@@ -199,15 +214,19 @@ def level_mask(k: int) -> int:
     return _KIND_BITS | ((1 << 8 * (k + 1)) - 1)
 
 
-def word_grams(words: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(grams of all words in order, first gram of each word); words begin with their class.
+def word_grams(words: list[bytes], order: int, tail: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(grams of all words in order, first gram of each word); words begin with their class, and with the ``order``
+    bytes before them if ``tail`` is as much.
 
     A gram is the class, ``order`` bytes of context, and the byte.
     """
-    spelled = [w[1:] if w[1:] == END else w[1:] + b" " for w in words]
-    pad = b" " * order
-    data = np.frombuffer(pad + pad.join(spelled), np.uint8).astype(np.int64)
-    lengths = np.fromiter(map(len, spelled), np.int64, len(spelled))
+    if tail not in (0, order):
+        raise ValueError("the bytes before a word are as many as those of a context, or none")
+    own = 1 + tail
+    pad = b" " * (order - tail)
+    spelled = [pad + (w[1:] if w[own:] == END else w[1:] + b" ") for w in words]
+    data = np.frombuffer(b"".join(spelled), np.uint8).astype(np.int64)
+    lengths = np.fromiter(map(len, spelled), np.int64, len(spelled)) - order
     begins = np.cumsum(lengths) - lengths
     at = np.arange(int(lengths.sum())) + np.repeat(order * (1 + np.arange(len(words))), lengths)
     gram = np.zeros(len(at), np.int64)
@@ -239,13 +258,13 @@ def _column(parts: list[pa.RecordBatch], name: str) -> pa.ChunkedArray:
     return pa.chunked_array([p.column(p.schema.get_field_index(name)) for p in parts])
 
 
-def group_grams(words: DataFrame, order: int) -> DataFrame:
+def group_grams(words: DataFrame, order: int, tail: int = 0) -> DataFrame:
     """(grp, gram, n) of each group of words; rows come sorted by group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, parts in grouped(batches, "grp"):
             listed = _column(parts, "word").to_pylist()
-            gram, begins = word_grams(listed, order)
+            gram, begins = word_grams(listed, order, tail)
             weight = np.repeat(_column(parts, "c").to_numpy(), np.diff(np.append(begins, len(gram))))
             keys, place = np.unique(gram, return_inverse=True)
             # counts stay whole numbers below 2^53
@@ -362,7 +381,7 @@ def score_grams(grams: DataFrame, order: int) -> DataFrame:
 # --- 4. back to words and documents ---------------------------------------------------------------
 
 
-def word_scores(words: DataFrame, grams: DataFrame, scored: DataFrame, order: int) -> DataFrame:
+def word_scores(words: DataFrame, grams: DataFrame, scored: DataFrame, order: int, tail: int = 0) -> DataFrame:
     """(word, c, lp): the count of the word in all classes, and the sum over the word's grams."""
     back = grams.select("grp", "gram").join(scored, "gram")
     schema = T.StructType(
@@ -381,7 +400,7 @@ def word_scores(words: DataFrame, grams: DataFrame, scored: DataFrame, order: in
             keys, values = told["gram"].to_numpy(), told["lp"].to_numpy()
             by_key = np.argsort(keys)
             keys, values = keys[by_key], values[by_key]
-            gram, begins = word_grams(asked["word"].to_pylist(), order)
+            gram, begins = word_grams(asked["word"].to_pylist(), order, tail)
             lp = np.add.reduceat(values[np.searchsorted(keys, gram)], begins)
             out = pa.table([asked["word"].combine_chunks(), asked["c"].combine_chunks(), pa.array(lp)], schema=arrow)
             yield from out.to_batches(max_chunksize=BATCH_ROWS)
@@ -418,12 +437,12 @@ RESULT = T.StructType(
 
 def document_scores(stored: DataFrame, words: DataFrame, total: int, distinct: int, prior: float) -> DataFrame:
     """Sums over the tokens of every document, block by block."""
-    answers = stored.where("word IS NOT NULL").select("block", "idx", "word").join(words, "word")
-    none = {n: F.lit(None).cast(t).alias(n) for n, t in (("idx", "int"), ("c", "long"), ("lp", "double"))}
+    answers = stored.where("word IS NOT NULL").select("block", "idx", "token", "word").join(words, "word")
+    none = {n: F.lit(None).cast(t).alias(n) for n, t in (("idx", "int"), ("token", "int"), ("c", "long"), ("lp", "double"))}
     texts = stored.where("texts IS NOT NULL")
     dealt = (
-        answers.select("block", F.lit(None).cast("binary").alias("texts"), "idx", "c", "lp")
-        .unionByName(texts.select("block", "texts", none["idx"], none["c"], none["lp"]))
+        answers.select("block", F.lit(None).cast("binary").alias("texts"), "idx", "token", "c", "lp")
+        .unionByName(texts.select("block", "texts", none["idx"], none["token"], none["c"], none["lp"]))
         .repartition("block")
         .sortWithinPartitions("block")
     )
@@ -437,10 +456,12 @@ def document_scores(stored: DataFrame, words: DataFrame, total: int, distinct: i
             place = told["idx"].to_numpy()
             c, lp = np.zeros(len(place)), np.zeros(len(place))
             c[place], lp[place] = told["c"].to_numpy(), told["lp"].to_numpy()
+            token = np.zeros(len(place), np.int32)
+            token[place] = told["token"].to_numpy()
             base, p = np.log10(c + 0.1) - below, prior * 10.0**lp
             for packed in rows.filter(rows["texts"].is_valid())["texts"].to_pylist():
                 ids, sizes, idx = unpack_texts(packed)
-                equal, before = earlier(idx, sizes)
+                equal, before = earlier(token[idx], sizes)
                 # a token too unlikely for a double keeps its exact logarithm where it is new
                 with np.errstate(divide="ignore"):
                     ahead = np.where(equal > 0, np.log10(equal + p[idx]), lp[idx] + np.log10(prior))
@@ -468,37 +489,46 @@ def score_documents(
     doc_id: str = "doc_id",
     text: str = "text",
     context: str | None = "lang",
+    running: bool = False,
 ) -> DataFrame:
     """doc_id, held_out, token counts, base score and model score of every document."""
-    stored = settle(blocks(docs, doc_id, text, context, block_bytes))
+    tail = order if running else 0
+    stored = settle(blocks(docs, doc_id, text, context, block_bytes, tail))
     rows = stored.where("word IS NOT NULL")
     groups = max(1, -(-rows.count() // GROUP_ROWS))
-    spelled = F.expr("substring(word, 2)")
+    spelled = F.expr(f"substring(word, {2 + tail})")
     counted = (
-        rows.select(F.pmod(F.xxhash64(spelled), F.lit(groups)).alias("grp"), "word", "n")
+        rows.select(F.pmod(F.xxhash64("word" if tail else spelled), F.lit(groups)).alias("grp"), "word", "n")
         .repartition("grp")  # a word has one row per block, and its classes meet here
         .groupBy("grp", "word")
         .agg(F.sum("n").alias("c"))
     )
-    same = Window.partitionBy("grp", spelled)  # at most one row per class
-    words = settle(
-        counted.select(
-            "grp",
-            "word",
-            "c",
-            F.sum("c").over(same).alias("total"),
-            (F.row_number().over(same.orderBy("word")) == 1).alias("first"),
+    if tail:
+        # a frequent token has rows for all that comes before it: summed before they meet
+        tokens = settle(counted)
+        totals = settle(tokens.groupBy(spelled.alias("token")).agg(F.sum("c").alias("total")))
+        sums = totals.agg(F.sum("total").alias("total"), F.count(F.when(F.col("total") > 0, 1)).alias("distinct")).first()
+        words = settle(tokens.withColumn("token", spelled).join(totals, "token").select("grp", "word", "c", "total"))
+    else:
+        same = Window.partitionBy("grp", spelled)  # at most one row per class
+        words = settle(
+            counted.select(
+                "grp",
+                "word",
+                "c",
+                F.sum("c").over(same).alias("total"),
+                (F.row_number().over(same.orderBy("word")) == 1).alias("first"),
+            )
         )
-    )
-    known = F.count(F.when((F.col("total") > 0) & F.col("first"), 1))
-    sums = words.agg(F.sum("c").alias("total"), known.alias("distinct")).first()
-    grams = settle(group_grams(words.repartition("grp").sortWithinPartitions("grp"), order))
+        known = F.count(F.when((F.col("total") > 0) & F.col("first"), 1))
+        sums = words.agg(F.sum("c").alias("total"), known.alias("distinct")).first()
+    grams = settle(group_grams(words.repartition("grp").sortWithinPartitions("grp"), order, tail))
     scored = score_grams(grams.groupBy("gram").agg(F.sum("n").alias("n")), order)
-    told = settle(word_scores(words, grams, scored, order))
+    told = settle(word_scores(words, grams, scored, order, tail))
     return document_scores(stored, told, sums["total"] or 0, sums["distinct"], prior)
 
 
 @query("op4_ppm")
 def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by a model that has learned from nine tenths of them."""
-    return score_documents(table(spark, sf_dir, "documents"))
+    return score_documents(table(spark, sf_dir, "documents"), running=True)

@@ -289,6 +289,62 @@ def test_ppm_equals_a_dictionary_trie(spark, documents):
         assert g.score == pytest.approx(score, rel=1e-9) and g.base_score == pytest.approx(base, rel=1e-9)
 
 
+def test_ppm_contexts_reach_into_earlier_words(spark):
+    order, prior = 6, 50.0
+    rows = [(i, " ".join(("one two three", "four five a b")[(i + k) % 2] for k in range(1 + i % 4)), "x") for i in range(60)]
+    rows += [(100 + k, t, "x") for k, t in enumerate(("one two three four", "four two three one", "  One\ntwo three\tfour ", "", None))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: r for r in ppm.score_documents(frame, order=order, prior=prior, block_bytes=200, running=True).collect()}
+
+    def tokens(text):
+        return (text or "").encode().lower().split() + [ppm.END]
+
+    def spelled(text):
+        """(context and bytes of each token)"""
+        before = b" " * order
+        for w in tokens(text):
+            yield before[-order:] + (w if w == ppm.END else w + b" ")
+            before += w + b" "
+
+    met, words = collections.defaultdict(collections.Counter), collections.Counter()
+    for i, text, _ in rows:
+        if not ppm.held_out(i):
+            words.update(tokens(text))
+            for x in spelled(text):
+                for at in range(order, len(x)):
+                    for k in range(order + 1):
+                        met[x[at - k : at]][x[at]] += 1
+
+    def chance(x):
+        out = 0.0
+        for at in range(order, len(x)):
+            gone = set()
+            for k in range(order, -1, -1):
+                here = {y: c for y, c in met.get(x[at - k : at], {}).items() if y not in gone}
+                if not here:
+                    continue
+                n = sum(here.values())
+                if x[at] in here:
+                    out += math.log10((2 * here[x[at]] - 1) / (2 * n))
+                    break
+                out += math.log10(len(here) / (2 * n))
+                gone |= set(here)
+            else:
+                out -= math.log10(256 - len(gone))
+        return out
+
+    total, distinct = sum(words.values()), len(words)
+    for i, text, _ in rows:
+        score, seen = 0.0, collections.Counter()
+        for j, (w, x) in enumerate(zip(tokens(text), spelled(text))):
+            score += math.log10((seen[w] + prior * 10 ** chance(x)) / (j + prior))
+            seen[w] += 1
+        base = sum(math.log10((words[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in tokens(text))
+        assert got[i].score == pytest.approx(score, rel=1e-9) and got[i].base_score == pytest.approx(base, rel=1e-9)
+        assert (got[i].n_known, got[i].train_tokens) == (sum(w in words for w in tokens(text)), total)
+    assert abs(got[100].score - got[101].score) > 0.1 and got[100].score == pytest.approx(got[102].score)
+
+
 def test_ppm_sums_to_one():
     # all bytes that can follow one context, seen ones and new ones
     order, words = 3, [bytes([1]) + w for w in (b"ab", b"abc", b"ac", b"b", b"\n")]
