@@ -7,7 +7,7 @@ template's words stand in the block in order, with few others between them. Plac
 taken are not given again.
 
 Cases: null and empty texts have no findings; a text with several notices has one row for each; repeated rows have
-findings each; texts are searched whole, blocks of any length are taken in overlapping pieces; case, line ends and
+findings each; texts are searched whole, blocks of any length are taken in pieces that overlap by the longest template and its spare words; case, line ends and
 punctuation around words do not matter, version numbers do. Extra columns are left out.
 """
 
@@ -122,7 +122,7 @@ ANCHORS = (b"licens", b"licenc", b"copyright", b"rights reserved", b"permission"
 @dataclass(frozen=True)
 class LicenceParams:
     around: int = 60  # words on each side of a licence word
-    piece: int = 600  # words of a block compared at a time
+    piece: int = 600  # words of a block compared at a time, more if templates are long
     coverage: float = 0.9  # of the template's words
     level: int = 3
 
@@ -151,6 +151,10 @@ class Scanner:
             known = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             with_it = zstandard.ZstdCompressor(level=p.level, dict_data=known, write_content_size=False, write_checksum=False)
             self.templates.append((name, kind, words, with_it))
+        # a place is whole in a piece: no longer than a template and the extra words among its own
+        longest = max((len(words) for _, _, words, _ in self.templates), default=0)
+        self.overlap = max(2 * p.around, longest + int((1 - p.coverage) * longest))
+        self.piece = max(p.piece, 2 * self.overlap)
 
     def blocks(self, words: list[str]) -> Iterator[tuple[int, int]]:
         """Ranges of words around licence words; overlapping ones are one block."""
@@ -230,15 +234,18 @@ class Scanner:
         if not any(a.split(b" ")[0] in raw for a in ANCHORS):
             return []
         words = text.split()
-        out, seen = [], set()
+        out = []
         for begin, stop in self.blocks(words):
-            step = self.p.piece - 2 * self.p.around
-            for at in range(begin, max(begin + 1, stop - 2 * self.p.around), step):
-                piece = plain(words[at : min(stop, at + self.p.piece)])
-                for name, kind, a, b, *rest in self.block(piece):
-                    if (name, kind, at + a, at + b) not in seen:
-                        seen.add((name, kind, at + a, at + b))
-                        out.append((name, kind, at + a, at + b, *rest))
+            found = []
+            for at in range(begin, max(begin + 1, stop - self.overlap), self.piece - self.overlap):
+                piece = plain(words[at : min(stop, at + self.piece)])
+                found += [(name, kind, at + a, at + b, *rest) for name, kind, a, b, *rest in self.block(piece)]
+            # of places in two pieces the one with more of the wording stays
+            kept: list[tuple] = []
+            for x in sorted(found, key=lambda x: (-x[6] * (x[3] - x[2]), x[5], x[2])):
+                if all(x[3] <= y[2] or x[2] >= y[3] for y in kept):
+                    kept.append(x)
+            out += [x for k, x in enumerate(found) if x in kept and x not in found[:k]]
         return out
 
 

@@ -488,6 +488,18 @@ def test_licences_in_the_documents(spark, texts, documents):
         assert got[i] == {k for k, v in notices.items() if v in " ".join(t.lower().split())}
 
 
+def test_licence_over_the_end_of_a_piece():
+    scanner = licences.Scanner(licences.TEMPLATES, licences.PARAMS)
+    text = next(t for n, k, t in licences.TEMPLATES if (n, k) == ("MIT", "text")).split()
+    differs = list(text)
+    differs[20:140:10] = ["other"] * 12
+    for wording in (text, differs):
+        for before in (*range(400, 500, 4), 455, 459, 463, 880, 1300):
+            words = ["license" if i % 50 == 0 else f"w{i}" for i in range(before)] + wording + ["license", "end"] * 150
+            found = [x[:4] for x in scanner.text(" ".join(words)) if x[1] == "text"]
+            assert found == [("MIT", "text", before, before + len(text))]
+
+
 @pytest.mark.parametrize("k", range(len(licences.TEMPLATES)))
 def test_each_template_is_found_amid_words(k):
     name, kind, text = licences.TEMPLATES[k]
