@@ -7,9 +7,10 @@ so. Taking the rows in order, cutting the output to ``start`` and adding ``segme
 own last output. Rendering the turn with two probe texts shows where its text begins and ends in the segment,
 without knowledge of the template.
 
-Rows of a conversation are sorted by Spark (which spills) and stream through the task; no conversation is held as
-a whole. Histories of more than ``2 * window`` turns are cut to the last ``window``; if that changes the last segment,
-the template depends on older turns and the row is marked as rewriting. Up to there nothing is cut.
+Rows of a conversation are sorted by Spark (which spills) and stream through the task. Whole prefixes are rendered, however
+long the conversation. Only for a template declared ``stable`` (turns are rendered one after the other, each from itself
+alone: it never rewrites, counts or places turns) histories of more than ``2 * window`` turns are cut to the last ``window``,
+so that no conversation is held as a whole; ``marked`` is such a template.
 
 Cases: null text and null role are empty; a null conversation id is a conversation of its own; rows of equal turn are ordered by
 role and text, repeated rows are turns of their own; a null turn comes first; extra columns are left out; an empty
@@ -81,8 +82,8 @@ def _common(a: str, b: str) -> int:
 class Rendering:
     """Prefix renderings of one conversation; remembers the last output of the history it keeps."""
 
-    def __init__(self, template: Template, window: int = WINDOW) -> None:
-        self.template, self.window = template, window
+    def __init__(self, template: Template, window: int = WINDOW, stable: bool = False) -> None:
+        self.template, self.window, self.stable = template, window, stable
         self.history: Turns = []
         self.output = template([])
         self.before = 0  # output that belongs to turns no longer kept
@@ -102,7 +103,7 @@ class Rendering:
         row |= {"text_start": first, "text_stop": last} if found else {"text_start": None, "text_stop": None}
         self.history.append((role, text))
         self.output = now
-        if len(self.history) > 2 * self.window:
+        if self.stable and len(self.history) > 2 * self.window:
             short = self.history[-self.window :]
             self.output, old = self.template(short), self.output
             self.before += len(old) - len(self.output)
@@ -133,10 +134,15 @@ def _rows(batches: Iterator[pa.RecordBatch], widest: str) -> Iterator[list[dict]
 
 
 def format_turns(
-    conversations: DataFrame, template: Template = marked, window: int = WINDOW, loss_roles: tuple = LOSS_ROLES
+    conversations: DataFrame,
+    template: Template = marked,
+    window: int = WINDOW,
+    loss_roles: tuple = LOSS_ROLES,
+    stable: bool | None = None,
 ) -> DataFrame:
     """One row per turn, in order within partitions: segment, where it starts in the output, the text's place
-    in the segment, whether the text is under the loss mask, and whether the turn rewrote history."""
+    in the segment, whether the text is under the loss mask, and whether the turn rewrote history. ``stable`` declares the template so; without it only ``marked`` is."""
+    stable = template is marked if stable is None else stable
     ordered = (
         conversations.select(
             F.col("conv_id").cast("long").alias("conv_id"),
@@ -155,7 +161,7 @@ def format_turns(
             made = []
             for r in rows:
                 if rendering is None or r["conv_id"] != at:
-                    rendering, at = Rendering(template, window), r["conv_id"]
+                    rendering, at = Rendering(template, window, stable), r["conv_id"]
                 found = rendering.add(r["role"], r["text"])
                 made.append(
                     {"conv_id": at, "turn": r["turn"], "role": r["role"], "loss": r["role"] in loss_roles, **found}

@@ -607,3 +607,26 @@ def test_pipeline_equals_plain_stages(spark):
         ids = library.encode(kept[r.doc_id].text, add_special_tokens=False).ids
         assert r.n_tokens == len(ids) and np.frombuffer(r.ids, "<u4").tolist() == ids
         assert r.decoded_sha256 == hashlib.sha256(kept[r.doc_id].text.encode()).hexdigest()
+
+
+def test_chat_long_histories_are_rendered_whole():
+    given = [(("user", "assistant")[k % 2], f"t{k}") for k in range(300)]
+
+    def numbered(turns):
+        return "".join(f"{k}:{text};" for k, (_, text) in enumerate(turns))
+
+    def rewriting(turns):  # the first turn is rewritten at the 200th
+        return "".join(f"{'X' if k == 0 and len(turns) >= 200 else text};" for k, (_, text) in enumerate(turns))
+
+    def alternating(turns):
+        assert all(role == ("user", "assistant")[k % 2] for k, (role, _) in enumerate(turns))
+        return chat.marked(turns)
+
+    for template, bad in ((numbered, []), (rewriting, [199]), (alternating, [])):
+        rendering = chat.Rendering(template, window=8)
+        rows = [rendering.add(*turn) for turn in given]
+        assert [k for k, r in enumerate(rows) if r["rewrites"]] == bad
+        output = ""
+        for r in rows:
+            output = output[: r["start"]] + r["segment"]
+        assert output == template(given)
