@@ -456,6 +456,17 @@ def test_passage_beside_a_stray_phrase(size, edits, gap):
         assert len(found) == 1 and found[0][0] <= 100 and found[0][1] >= 100 + size and found[0][4] >= 0.8
 
 
+def test_passages_of_texts_with_repeated_words():
+    draw, p = random.Random(8), passages.PARAMS
+    for k in range(150):
+        a = [b"%d" % draw.randrange(2 + k % 4) for _ in range(300)]
+        b = a[:120] + a[100:200] + [b"z"] * 40 + a[150:]
+        for x in passages.verify(a, b, p):
+            one, two = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a[x[0] : x[1]], b[x[2] : x[3]]))
+            assert len(one & two) / len(one | two) == pytest.approx(x[4]) and x[4] >= p.similarity
+            assert min(x[1] - x[0], x[3] - x[2]) >= p.words
+
+
 @pytest.mark.parametrize("gap", [20, 40, 80])
 def test_all_passages_of_a_candidate(gap):
     draw = random.Random(gap)
