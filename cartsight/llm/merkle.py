@@ -286,14 +286,12 @@ def manifest(
     )
     blocks = settle(butterfly(settle(block_roots(leaves, height, fanout)), height, fanout))
     # the tree on top: its leaves are the roots of the sources
-    count = ranks.agg(F.count(F.lit(1)).alias("n"))
+    count = F.lit(ranks.count()).cast("long")
     subroots = settle(
-        blocks.where("block = 0")
-        .crossJoin(F.broadcast(count.withColumnRenamed("n", "_n")))  # one row
-        .select(
+        blocks.where("block = 0").select(
             F.lit(0).cast("long").alias("tree"),
             F.col("tree").alias("at"),
-            F.col("_n").cast("long").alias("n"),
+            count.alias("n"),
             F.col("node").alias("leaf"),
             F.col("node").alias("claim"),
         )
@@ -303,7 +301,7 @@ def manifest(
     above = block_proofs(subroots, tops.withColumns(nothing | {"root": F.col("node")}), [], height, fanout).select(
         F.col("at").alias("tree"), F.col("proof").alias("above"), F.col("at").alias("above_at"), "root"
     )
-    full = settle(blocks.join(above, "tree").crossJoin(F.broadcast(count.select(F.col("n").cast("long").alias("above_n")))))
+    full = settle(blocks.join(above, "tree").withColumn("above_n", count))
     found = block_proofs(leaves, full, ["_carried"], height, fanout)
     return found.select(
         *unpacked(names),
