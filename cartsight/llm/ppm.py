@@ -1,44 +1,49 @@
 """Language-model scores by prediction by partial matching over bytes, beside a word-frequency base.
 
 Tokens of a text are its lower-cased words and one end. A word is spelled as its bytes and a space, the end as
-a line feed. The context of a byte are the last ``order`` bytes of the running text, earlier tokens included, with spaces
-before its beginning (without ``running``, those of its token only). The trie of contexts is kept as tables of (context, byte) counts, one level per context length; a level
+a line feed. The context of a byte are the last ``order`` bytes of the text as spelled, with spaces before its beginning.
+The trie of contexts is kept as tables of (context, byte) counts, one level per context length; a level
 is got from the next longer one by dropping the oldest byte. From the longest context that was met in training:
 
 * a byte met c times among n there, with q different bytes, has probability (2c - 1) / 2n, an escape q / 2n;
 * after an escape the bytes of the longer context are excluded from n, q and the choice in the shorter one;
 * a context without other bytes is passed at no cost; below the empty context all bytes left are equal.
 
-A column of the documents (their language, by default) is one more symbol of every context, which is never dropped.
-The trie's probability of a token is the prior of an adaptive estimate, worth ``prior`` tokens: after t tokens of
-the text, r of them equal, the next has (r + prior * p) / (t + prior). The trie scores each distinct word (a token with
-the ``order`` bytes before it) once for the whole corpus:
+``trie_score`` is the trie's code length alone. In ``score`` the code adapts to the document: the trie's probability p of a
+token is the prior of an estimate, worth ``prior`` tokens; after t tokens of the text, r of them equal, the next has
+(r + prior * p) / (t + prior). Optionally a column of the documents, such as their language, is one more symbol of every
+context, which is never dropped.
 
-1. every block of documents (of bounded text) becomes numbered words and, per document, word numbers;
-2. words with training counts are summed over the blocks, all words in the corpus included;
-3. the grams (context and byte) of the words are summed over groups of words; per last two bytes of the
-   context they meet their sub-trie and get a log probability; levels 0 and 1 (65,536 counts per class at most) are sent along;
-4. grams go back to their words, words to their blocks, and sums to the documents.
+A gram is a context of full length and its byte, eight bytes in all. Each distinct gram of a block of documents goes out
+once, not each byte:
 
-Nothing that grows with the corpus goes to the driver or into a broadcast. Steps are stored in the shared
-folder.
+1. Every block (of bounded text) keeps its spelled texts, compressed, and lists its distinct grams and words (by hash) with
+   their counts in training, sorted and delta-coded: about a byte for a gram.
+2. Grams are dealt by the end of their context, two bytes or, where many grams share them, more, so that a sub-trie is
+   whole in one task and none is large; counts of the contexts that are split go along to all (256 for each at most).
+   Words are dealt by hash. Tasks add up the counts and answer every block with a log probability or a count per key.
+3. Blocks meet their answers and add them up over their texts.
+
+Nothing that grows with the corpus goes to the driver or into a broadcast, but the contexts that are split: one at most per
+``heavy`` grams of all blocks. Steps are stored in the shared folder.
 
 Cases: null text is empty, an empty text is its end alone; a null id is not learned from and held out; repeated rows are
 scored, and learned from, each; very long texts are taken whole (a block holds at least one); without training
-documents every token is new, and its bytes are equally likely; a missing or null language is a class of its own, and
-languages share 48 classes.
+documents every token is new, and its bytes are equally likely; a missing or null context column is a class of its own, and
+its values share 48 classes.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -48,131 +53,222 @@ from cartsight.llm.rows import slices
 from cartsight.sources.tables import settle
 
 ORDER = 6
-PRIOR = 2000.0
+PRIOR = 5000.0
 CLASSES = 48
 BLOCK_BYTES = 24 << 20  # text of a block
-RUN_TOKENS = 1 << 18  # tokens in a row
-GROUP_ROWS = 500_000  # word rows per group of words
-BATCH_ROWS = 1 << 16
+RUN_BYTES = 4 << 20  # text in a row
+PART_KEYS = 1 << 20  # keys, of all blocks together, in a part
+MOST_PARTS = 20_000  # rows of a block's keys; beyond, parts grow with the corpus, but their distinct keys hardly do
+HEAVY = 1 << 22  # grams of all blocks that may share the end of their context
+MERGED = 1 << 22  # keys unpacked before equal ones are added up
+WORDS_KEPT = 500_000
 END = b"\n"
 FOLDS, HELD_OUT = 10, 0
+TEXTS, GRAMS, WORDS = 2, 0, 1  # kinds of a block's rows; answers come before texts
+Counts = tuple[np.ndarray, np.ndarray]  # sorted distinct keys, and a number for each
 
 
 def held_out(doc_id: int | None) -> bool:
     return doc_id is None or zlib.crc32(str(doc_id).encode()) % FOLDS == HELD_OUT
 
 
+# --- numbers in few bytes -------------------------------------------------------------------------
+
+
+def pack(values: np.ndarray) -> bytes:
+    """64-bit values, with equal bytes standing together."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(data: bytes, kind: type = np.int64) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys by their differences."""
+    return pack(np.diff(keys, prepend=np.int64(0)))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data))
+
+
+def counted(keys: np.ndarray) -> Counts:
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1)) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(first, append=len(keys))
+
+
+def merged(parts: Sequence[Counts]) -> Counts:
+    """Distinct keys of all parts with their sums."""
+    keys = np.concatenate([np.zeros(0, np.int64), *(k for k, _ in parts)])
+    counts = np.concatenate([np.zeros(0, np.int64), *(c for _, c in parts)])
+    order = np.argsort(keys, kind="stable")  # merges runs that are sorted already
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1)) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts[order], first) if len(keys) else counts
+
+
+class Places:
+    """Places of keys, by hashing: searching many keys in no order in a long sorted list is slower."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = keys
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.table = np.full(1 << self.bits, -1, np.int32)
+        slot, todo = self._slots(keys), np.arange(len(keys), dtype=np.int32)
+        while len(todo):
+            at = slot[todo]
+            free = self.table[at] < 0
+            self.table[at[free]] = todo[free]  # of several for one slot the last stays
+            todo = todo[self.table[at] != todo]
+            slot[todo] = (slot[todo] + 1) & (len(self.table) - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Places of keys that are all there."""
+        slot = self._slots(wanted)
+        out = self.table[slot]
+        wrong = np.flatnonzero(self.keys[out] != wanted)
+        while len(wrong):
+            slot[wrong] = (slot[wrong] + 1) & (len(self.table) - 1)
+            out[wrong] = self.table[slot[wrong]]
+            wrong = wrong[self.keys[out[wrong]] != wanted[wrong]]
+        return out
+
+
+# --- texts as grams and tokens --------------------------------------------------------------------
+
+
+def spelled(text: str | None) -> bytes:
+    words = (text or "").encode().lower().split()
+    return b" ".join([*words, END])
+
+
+def tokens(raw: bytes) -> list[bytes]:
+    """Words and ends of spelled texts that follow each other."""
+    return raw.replace(END, END + b" ").split(b" ")[:-1]
+
+
+class WordHashes:
+    def __init__(self) -> None:
+        self.known: dict[bytes, int] = {}
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        if len(self.known) > WORDS_KEPT:
+            self.known.clear()
+        for w in set(words).difference(self.known):
+            self.known[w] = xxhash.xxh64_intdigest(w) >> 1  # not negative, so that keys sort alike everywhere
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+
+_KIND_BITS = 0x7F << 56  # of the class in a gram
+
+
+def level_mask(k: int) -> int:
+    """Bits of the class, ``k`` bytes of context and the byte."""
+    return _KIND_BITS | ((1 << 8 * (k + 1)) - 1)
+
+
+def text_grams(texts: list[bytes], kinds: Sequence[int], order: int) -> np.ndarray:
+    """One gram per byte: the class, ``order`` bytes of context, and the byte."""
+    pad = b" " * order
+    data = np.frombuffer(b"".join(x for t in texts for x in (pad, t)), np.uint8)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    out = np.empty(int(sizes.sum()), np.int64)
+    shift = np.repeat(order * (1 + np.arange(len(texts))), sizes)  # of a byte's place in data
+    for a in range(0, len(out), 1 << 18):
+        at = np.arange(a, min(len(out), a + (1 << 18)))
+        at += shift[a : a + len(at)]
+        gram = np.zeros(len(at), np.int64)
+        for k in range(order, -1, -1):
+            gram <<= 8
+            gram |= data[at - k]
+        out[a : a + len(at)] = gram
+    if any(kinds):
+        out |= np.repeat(np.asarray(kinds, np.int64) << 56, sizes)
+    return out
+
+
 # --- 1. blocks ------------------------------------------------------------------------------------
 
 BLOCKS = T.StructType(
     [
         T.StructField("block", T.LongType()),
-        T.StructField("texts", T.BinaryType()),
-        T.StructField("idx", T.IntegerType()),
-        T.StructField("token", T.IntegerType()),  # number of the token, without what is before it
-        T.StructField("word", T.BinaryType()),
+        T.StructField("kind", T.IntegerType()),
+        T.StructField("keys", T.BinaryType()),  # or texts
+        T.StructField("counts", T.BinaryType()),
         T.StructField("n", T.LongType()),
     ]
 )
 
 
-def _batch(schema: pa.Schema, n_rows: int, **columns) -> pa.RecordBatch:
-    made = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n_rows, f.type) for f in schema]
-    return pa.RecordBatch.from_arrays(made, schema=schema)
+def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def pack_texts(docs: list[int | None], texts: list[np.ndarray]) -> bytes:
-    """Ids, which of them are null, lengths and tokens of some texts in one compressed string."""
-    flat = np.concatenate(texts).astype("<i4")
-    planes = np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 4).T)  # equal high bytes stand together
-    parts = (
-        np.array([len(docs)], "<i8"),
-        np.array([i or 0 for i in docs], "<i8"),
-        np.array([i is None for i in docs], "<i8"),
-        np.fromiter(map(len, texts), "<i8", len(texts)),
-    )
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(p.tobytes() for p in (*parts, planes)))
+def pack_texts(docs: list[int | None], kinds: list[int], texts: list[bytes]) -> bytes:
+    """Ids, which of them are null, classes, lengths and bytes of some texts."""
+    head = np.array([[i or 0 for i in docs], [i is None for i in docs], kinds, [len(t) for t in texts]], "<i8")
+    size = np.array([len(docs)], "<i8")
+    return zstandard.ZstdCompressor(level=1).compress(b"".join((size.tobytes(), head.tobytes(), *texts)))
 
 
-def unpack_texts(packed: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    """(ids, lengths, tokens)"""
+def unpack_texts(packed: bytes) -> tuple[list[int | None], list[int], list[bytes]]:
+    """(ids, classes, texts)"""
     raw = zstandard.ZstdDecompressor().decompress(packed)
     n = int(np.frombuffer(raw, "<i8", 1)[0])
-    ids, none, sizes = np.frombuffer(raw, "<i8", 3 * n, 8).reshape(3, n)
-    planes = np.frombuffer(raw, np.uint8, offset=8 + 24 * n).reshape(4, -1)
-    return [None if x else i for i, x in zip(ids.tolist(), none)], sizes, np.ascontiguousarray(planes.T).view("<i4").ravel()
+    ids, none, kinds, sizes = np.frombuffer(raw, "<i8", 4 * n, 8).reshape(4, n)
+    stops = (8 + 32 * n + np.cumsum(sizes)).tolist()
+    texts = [raw[b - s : b] for b, s in zip(stops, sizes.tolist())]
+    return [None if x else i for i, x in zip(ids.tolist(), none)], kinds.tolist(), texts
 
 
 class Block:
-    """Numbered words (class byte first, then ``tail`` bytes of the text before) of some documents, their training
-    counts, and the texts not sent on yet."""
-
-    def __init__(self, number: int, tail: int = 0) -> None:
-        self.number, self.bytes, self.tail = number, 0, tail
-        self.index: dict[bytes, int] = {}
-        self.trained: list[np.ndarray] = []
-        self.counts = np.zeros(0, np.int64)
-        self.docs: list[int | None] = []
-        self.texts: list[np.ndarray] = []
-        self.tokens = 0
+    """The texts of some documents not sent on yet, and the grams and words of all of them."""
 
-    def add(self, doc_id: int | None, kind: int, text: str | None) -> None:
-        raw = (text or "").encode()
-        words = raw.lower().split()
-        words.append(END)
-        index, head = self.index, bytes([kind])
-        if self.tail:
-            n, before = self.tail, b" " * self.tail
-            for at, w in enumerate(words):
-                words[at] = before + w
-                before = (before + w + b" ")[-n:]
-        ids = np.fromiter((index.setdefault(head + w, len(index)) for w in words), np.int32, len(words))
-        self.bytes += len(raw) + 1
-        self.docs.append(doc_id)
-        self.texts.append(ids)
-        self.tokens += len(ids)
-        if not held_out(doc_id):
-            self.trained.append(ids)
-        if len(self.trained) > 4096:
-            self._count()
-
-    def _count(self) -> None:
-        new = np.bincount(np.concatenate([np.zeros(0, np.int32), *self.trained]), minlength=len(self.index))
-        new[: len(self.counts)] += self.counts
-        self.counts, self.trained = new, []
-
-    def take_texts(self, schema: pa.Schema) -> pa.RecordBatch:
-        out = _batch(schema, 1, block=[self.number], texts=[pack_texts(self.docs, self.texts)])
-        self.docs, self.texts, self.tokens = [], [], 0
-        return out
+    def __init__(self, number: int, order: int, hashes: WordHashes) -> None:
+        self.number, self.order, self.hashes = number, order, hashes
+        self.bytes = self.held = 0
+        self.docs: list[tuple[int | None, int, bytes]] = []
+        self.lists: dict[int, list[Counts]] = {GRAMS: [], WORDS: []}
 
-    def words(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        self._count()
-        words = list(self.index)
-        tokens: dict[bytes, int] = {}
-        token = np.fromiter((tokens.setdefault(w[1 + self.tail :], len(tokens)) for w in words), np.int32, len(words))
-        for at in range(0, len(words), BATCH_ROWS):
-            part = words[at : at + BATCH_ROWS]
-            yield _batch(
-                schema,
-                len(part),
-                block=np.full(len(part), self.number),
-                idx=np.arange(at, at + len(part), dtype=np.int32),
-                token=token[at : at + len(part)],
-                word=part,
-                n=self.counts[at : at + len(part)],
-            )
+    def add(self, doc_id: int | None, kind: int, text: str | None) -> None:
+        data = spelled(text)
+        self.docs.append((doc_id, kind, data))
+        self.held += len(data)
+        self.bytes += len(data)
+
+    def take_texts(self) -> tuple:
+        """A row of the texts, whose grams and words are listed."""
+        for learned in (True, False):
+            own = [(k, t) for i, k, t in self.docs if held_out(i) != learned]
+            texts = [t for _, t in own]
+            for what, keys in (
+                (GRAMS, text_grams(texts, [k for k, _ in own], self.order)),
+                (WORDS, self.hashes(tokens(b"".join(texts)))),
+            ):
+                values, n = counted(keys)
+                self.lists[what].append((values, n if learned else np.zeros_like(n)))
+        ids, kinds, texts = (list(x) for x in zip(*self.docs))
+        self.docs, self.held = [], 0
+        return self.number, TEXTS, pack_texts(ids, kinds, texts), None, len(texts)
+
+    def take_lists(self) -> Iterator[tuple]:
+        for what, parts in self.lists.items():
+            keys, counts = merged(parts)
+            yield self.number, what, pack_keys(keys), pack(counts), len(keys)
 
 
 def blocks(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    context: str | None = "lang",
-    block_bytes: int = BLOCK_BYTES,
-    tail: int = 0,
+    docs: DataFrame, order: int, doc_id: str = "doc_id", text: str = "text", context: str | None = None, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """Rows of packed texts and rows of words (idx, word, n) of every block."""
+    """Rows of texts, of grams and of words of every block."""
     kind = F.lit(0)
     if context in docs.columns:
         kind = F.coalesce(F.crc32(F.col(f"`{context}`").cast("string").cast("binary")) % CLASSES + 1, F.lit(0))
@@ -180,111 +276,28 @@ def blocks(
         F.col(f"`{doc_id}`").cast("long").alias("id"), kind.cast("int").alias("kind"), F.col(f"`{text}`").alias("text")
     )
     arrow = to_arrow_schema(BLOCKS)
+    run_bytes = min(RUN_BYTES, block_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        block = Block(number, tail)
+        number, hashes = TaskContext.get().partitionId() << 32, WordHashes()
+        block = Block(number, order, hashes)
         for batch in batches:
             for at, n in slices(batch.column(2)):
-                for i, k, t in zip(*(c.slice(at, n).to_pylist() for c in batch.columns)):
-                    block.add(i, k, t)
-                    if block.tokens >= RUN_TOKENS:
-                        yield block.take_texts(arrow)
+                for row in zip(*(c.slice(at, n).to_pylist() for c in batch.columns)):
+                    block.add(*row)
+                    if block.held >= run_bytes:
+                        yield _batch(arrow, [block.take_texts()])
                     if block.bytes >= block_bytes:
-                        if block.docs:
-                            yield block.take_texts(arrow)
-                        yield from block.words(arrow)
+                        yield _batch(arrow, [*([block.take_texts()] if block.docs else []), *block.take_lists()])
                         number += 1
-                        block = Block(number, tail)
-        if block.docs:
-            yield block.take_texts(arrow)
-        yield from block.words(arrow)
+                        block = Block(number, order, hashes)
+        if block.bytes:
+            yield _batch(arrow, [*([block.take_texts()] if block.docs else []), *block.take_lists()])
 
     return source.mapInArrow(run, BLOCKS)
 
 
-# --- 3. grams -------------------------------------------------------------------------------------
-
-
-_KIND_BITS = 0x7F << 56  # of the class in a gram
-
-
-def level_mask(k: int) -> int:
-    """Bits of the class, ``k`` bytes of context and the byte."""
-    return _KIND_BITS | ((1 << 8 * (k + 1)) - 1)
-
-
-def word_grams(words: list[bytes], order: int, tail: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(grams of all words in order, first gram of each word); words begin with their class, and with the ``order``
-    bytes before them if ``tail`` is as much.
-
-    A gram is the class, ``order`` bytes of context, and the byte.
-    """
-    if tail not in (0, order):
-        raise ValueError("the bytes before a word are as many as those of a context, or none")
-    own = 1 + tail
-    pad = b" " * (order - tail)
-    spelled = [pad + (w[1:] if w[own:] == END else w[1:] + b" ") for w in words]
-    data = np.frombuffer(b"".join(spelled), np.uint8).astype(np.int64)
-    lengths = np.fromiter(map(len, spelled), np.int64, len(spelled)) - order
-    begins = np.cumsum(lengths) - lengths
-    at = np.arange(int(lengths.sum())) + np.repeat(order * (1 + np.arange(len(words))), lengths)
-    gram = np.zeros(len(at), np.int64)
-    for k in range(order, -1, -1):
-        gram = (gram << 8) | data[at - k]
-    kinds = np.fromiter((w[0] for w in words), np.int64, len(words))
-    return gram | (np.repeat(kinds, lengths) << 56), begins
-
-
-def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
-    """Runs of rows of equal key from rows sorted by it."""
-    now, held = None, []
-    for batch in batches:
-        keys = np.asarray(batch.column(batch.schema.get_field_index(key)))
-        if not len(keys):
-            continue
-        cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
-        for a, b in zip(cuts, cuts[1:]):
-            if held and keys[a] != now:
-                yield now, held
-                held = []
-            now = keys[a]
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield now, held
-
-
-def _column(parts: list[pa.RecordBatch], name: str) -> pa.ChunkedArray:
-    return pa.chunked_array([p.column(p.schema.get_field_index(name)) for p in parts])
-
-
-def group_grams(words: DataFrame, order: int, tail: int = 0) -> DataFrame:
-    """(grp, gram, n) of each group of words; rows come sorted by group."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, parts in grouped(batches, "grp"):
-            listed = _column(parts, "word").to_pylist()
-            gram, begins = word_grams(listed, order, tail)
-            weight = np.repeat(_column(parts, "c").to_numpy(), np.diff(np.append(begins, len(gram))))
-            keys, place = np.unique(gram, return_inverse=True)
-            # counts stay whole numbers below 2^53
-            n = np.bincount(place, weight, len(keys)).astype(np.int64)
-            for at in range(0, len(keys), BATCH_ROWS):
-                k, c = keys[at : at + BATCH_ROWS], n[at : at + BATCH_ROWS]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(k), group)), pa.array(k), pa.array(c)], names=["grp", "gram", "n"]
-                )
-
-    return words.select("grp", "word", "c").mapInArrow(run, "grp long, gram long, n long")
-
-
-def _levels(grams: np.ndarray, n: np.ndarray, order: int, lowest: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Per context length the sorted (context, byte) keys with their counts."""
-    out = {}
-    for k in range(order, lowest - 1, -1):
-        keys, place = np.unique(grams & level_mask(k), return_inverse=True)
-        out[k] = keys, np.bincount(place, n, len(keys))
-    return out
+# --- 2. sub-tries ---------------------------------------------------------------------------------
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -295,19 +308,81 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
-def gram_scores(wanted: np.ndarray, grams: np.ndarray, n: np.ndarray, low: tuple[np.ndarray, np.ndarray], order: int) -> np.ndarray:
+def _ends(grams: np.ndarray, length: int) -> np.ndarray:
+    """The class and the last ``length`` bytes of each gram's context."""
+    return (grams & level_mask(length)) >> 8
+
+
+class Split:
+    """Ends of contexts that too many grams share, by length, and the counts of the contexts that are split: all of length 0
+    and 1, and these."""
+
+    def __init__(self) -> None:
+        self.heavy: dict[int, np.ndarray] = {}
+        self.low: dict[int, Counts] = {}
+
+    def parts(self, grams: np.ndarray, many: int) -> np.ndarray:
+        """The part of each gram: by the shortest end of two bytes or more that is not heavy."""
+        end, length = _ends(grams, 2), np.full(len(grams), 2)
+        for k, heavy in sorted(self.heavy.items()):
+            longer = np.flatnonzero((length == k) & _find(heavy, end)[1])
+            end[longer], length[longer] = _ends(grams[longer], k + 1), k + 1
+        mixed = (end.view(np.uint64) * np.uint64(8) + length.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed >> np.uint64(32)) % np.uint64(many)).astype(np.int64)
+
+
+def split_ends(grams: DataFrame, order: int, heavy: int = HEAVY) -> Split:
+    """Lengthens the ends that are dealt by until none is shared by too many grams, or they are whole contexts."""
+    out = Split()
+    for length in range(2, order + 1):
+        above = out.heavy.get(length - 1)
+
+        def run(batches: Iterator[pa.RecordBatch], length: int = length, above: np.ndarray | None = above) -> Iterator[pa.RecordBatch]:
+            low: list[Counts] = []
+            ends: list[Counts] = []
+            for batch in batches:
+                for keys, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    grams, n = unpack_keys(keys), unpack(counts)
+                    if above is not None:
+                        here = _find(above, _ends(grams, length - 1))[1]
+                        grams, n = grams[here], n[here]
+                    if length < order:
+                        ends = [merged([*ends, counted(_ends(grams, length))])]
+                    met = n > 0
+                    low = [merged([*low, (grams[met] & level_mask(length - 1), n[met])])]
+            for what, parts in (("low", low), ("end", ends)):
+                for keys, sums in parts:
+                    made = [pa.array([what] * len(keys), pa.string()), pa.array(keys, pa.int64()), pa.array(sums, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(made, names=["what", "key", "n"])
+
+        sums = grams.select("keys", "counts").mapInArrow(run, "what string, key long, n long").groupBy("what", "key").agg(F.sum("n").alias("n"))
+        # counts after split contexts, and the ends that are heavy
+        found = sums.where((F.col("what") == "low") | (F.col("n") > heavy)).toArrow().to_pandas().sort_values("key")
+        lows, ends = found[found.what == "low"], found[found.what == "end"]
+        out.low[length - 1] = lows.key.to_numpy(np.int64), lows.n.to_numpy(np.int64)
+        if not len(ends):
+            break
+        out.heavy[length] = ends.key.to_numpy(np.int64)
+    return out
+
+
+def gram_scores(wanted: np.ndarray, grams: np.ndarray, n: np.ndarray, low: dict[int, Counts], order: int) -> np.ndarray:
     """log10 probability of the last byte of each wanted gram.
 
-    ``grams`` and ``n`` are the training grams of the same classes and last two context bytes; ``low`` are the keys and counts of all
-    (class, byte, byte) triples, from which contexts of length 1 and 0 follow.
+    ``grams`` and ``n`` are the training grams of whole sub-tries; ``low`` has the counts of the contexts above them, those of
+    length 1 (and with them 0) all.
     """
-    levels = _levels(grams, n, order, 2)
-    levels[1] = low
-    keys0, place0 = np.unique(low[0] & level_mask(0), return_inverse=True)
-    levels[0] = keys0, np.bincount(place0, low[1], len(keys0))
+    levels: dict[int, Counts] = {}
+    for k in range(order, 1, -1):
+        levels[k] = merged([(grams & level_mask(k), n)])
+        if k in low:
+            keys, counts = levels[k]
+            own = ~_find(np.unique(low[k][0] >> 8), keys >> 8)[1]
+            levels[k] = merged([(keys[own], counts[own]), low[k]])
+    levels[1] = low[1]
+    levels[0] = merged([(low[1][0] & level_mask(0), low[1][1])])
     score = np.zeros(len(wanted))
     todo = np.ones(len(wanted), bool)
-    met = np.zeros(len(wanted), bool)  # a longer context was met
     taken = np.zeros(len(wanted))  # of this level's count, by bytes of the longer context
     used = np.zeros(len(wanted))  # number of those bytes
     for k in range(order, -1, -1):
@@ -327,7 +402,6 @@ def gram_scores(wanted: np.ndarray, grams: np.ndarray, n: np.ndarray, low: tuple
                 missed = np.where(open_, np.log10(q / (2 * m)), 0.0)
             score[act] += np.where(hit, found, missed)
             todo[act] = ~hit
-            met |= act
         if k:
             # what the bytes of each context of this level count in the next shorter one
             below, counts_below = levels[k - 1]
@@ -344,68 +418,69 @@ def gram_scores(wanted: np.ndarray, grams: np.ndarray, n: np.ndarray, low: tuple
     return score
 
 
-def score_grams(grams: DataFrame, order: int) -> DataFrame:
-    """(gram, lp) of every gram, seen in training (n > 0) or not."""
-    pairs = (
-        grams.where("n > 0").groupBy(F.col("gram").bitwiseAND(level_mask(1)).alias("pair")).agg(F.sum("n").alias("n")).collect()
-    )  # at most 65,536 rows per class
-    pairs.sort()
-    low = np.array([r["pair"] for r in pairs], np.int64), np.array([r["n"] for r in pairs], float)
-    dealt = (
-        grams.withColumn("part", F.shiftright("gram", 8).bitwiseAND(level_mask(1) >> 8 | 0xFFFF)).repartition("part").sortWithinPartitions("part")
-    )
+def dealt(stored: DataFrame, split: Split, gram_parts: int, word_parts: int) -> DataFrame:
+    """The grams and words of every block by part; parts of words are numbered behind those of grams."""
+    schema = T.StructType([T.StructField("part", T.LongType()), *BLOCKS.fields])
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def scored(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            gram, n = _column(parts, "gram").to_numpy(), _column(parts, "n").to_numpy()
-            lp = gram_scores(gram, gram[n > 0], n[n > 0], low, order)
-            for at in range(0, len(gram), BATCH_ROWS):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram[at : at + BATCH_ROWS]), pa.array(lp[at : at + BATCH_ROWS])], names=["gram", "lp"]
-                )
-
-        # several small sub-tries at a time
-        held, rows = [], 0
-        for _, parts in grouped(batches, "part"):
-            held += parts
-            rows += sum(p.num_rows for p in parts)
-            if rows >= 2 * BATCH_ROWS:
-                yield from scored(held)
-                held, rows = [], 0
-        if held:
-            yield from scored(held)
+        for batch in batches:
+            for block, kind, keys, counts, _ in zip(*(c.to_pylist() for c in batch.columns)):
+                keys, counts = unpack_keys(keys), unpack(counts)
+                part = split.parts(keys, gram_parts) if kind == GRAMS else gram_parts + keys % word_parts
+                order = np.argsort(part, kind="stable")
+                keys, counts, part = keys[order], counts[order], part[order]
+                cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(part)]
+                rows = [(int(part[a]), block, kind, pack_keys(keys[a:b]), pack(counts[a:b]), b - a) for a, b in zip(cuts, cuts[1:])]
+                for at in range(0, len(rows), 64):
+                    yield _batch(arrow, rows[at : at + 64])
 
-    return dealt.mapInArrow(run, "gram long, lp double")
+    return stored.where(F.col("kind") != TEXTS).select(*(f.name for f in BLOCKS)).mapInArrow(run, schema)
 
 
-# --- 4. back to words and documents ---------------------------------------------------------------
+ANSWERS = T.StructType([*BLOCKS.fields, T.StructField("total", T.LongType()), T.StructField("distinct", T.LongType())])
 
 
-def word_scores(words: DataFrame, grams: DataFrame, scored: DataFrame, order: int, tail: int = 0) -> DataFrame:
-    """(word, c, lp): the count of the word in all classes, and the sum over the word's grams."""
-    back = grams.select("grp", "gram").join(scored, "gram")
-    schema = T.StructType(
-        [T.StructField("word", T.BinaryType()), T.StructField("c", T.LongType()), T.StructField("lp", T.DoubleType())]
-    )
-    none = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in schema}
-    lines = words.select("grp", F.lit(None).cast("long").alias("gram"), none["lp"], "word", F.col("total").alias("c"))
-    answers = back.select("grp", "gram", "lp", none["word"], none["c"])
-    dealt = lines.unionByName(answers).repartition("grp").sortWithinPartitions("grp")
-    arrow = to_arrow_schema(schema)
+def answers(parts: DataFrame, split: Split, order: int) -> DataFrame:
+    """For every block's keys of a part, in ``counts``, the log probabilities of grams or the training counts of words.
+
+    A row without a block has the sum and number of the part's words that were met in training.
+    """
+    arrow = to_arrow_schema(ANSWERS)
+
+    def answered(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        kind = rows[0][2]
+        held: list[Counts] = []
+        for _, _, _, keys, counts, _ in rows:
+            held.append((unpack_keys(keys), unpack(counts)))
+            if sum(len(k) for k, _ in held) >= MERGED and len(held) > 1:
+                held = [merged(held)]
+        every, n = merged(held)
+        del held
+        if kind == GRAMS:
+            met = n > 0
+            value = gram_scores(every, every[met], n[met], split.low, order)
+        else:
+            value = n
+            yield _batch(arrow, [(None, kind, None, None, 0, int(n.sum()), int((n > 0).sum()))])
+        for _, block, _, keys, _, size in rows:
+            yield _batch(arrow, [(block, kind, keys, pack(value[np.searchsorted(every, unpack_keys(keys))]), size, None, None)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, parts in grouped(batches, "grp"):
-            rows = pa.Table.from_batches(parts)
-            asked, told = rows.filter(rows["gram"].is_null()), rows.filter(rows["gram"].is_valid())
-            keys, values = told["gram"].to_numpy(), told["lp"].to_numpy()
-            by_key = np.argsort(keys)
-            keys, values = keys[by_key], values[by_key]
-            gram, begins = word_grams(asked["word"].to_pylist(), order, tail)
-            lp = np.add.reduceat(values[np.searchsorted(keys, gram)], begins)
-            out = pa.table([asked["word"].combine_chunks(), asked["c"].combine_chunks(), pa.array(lp)], schema=arrow)
-            yield from out.to_batches(max_chunksize=BATCH_ROWS)
+        held: list[tuple] = []  # packed rows of one part
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and held[0][0] != row[0]:
+                    yield from answered(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from answered(held)
+
+    return parts.repartition("part").sortWithinPartitions("part", "block").mapInArrow(run, ANSWERS)
 
-    return dealt.mapInArrow(run, schema)
+
+# --- 3. documents ---------------------------------------------------------------------------------
 
 
 def earlier(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -431,54 +506,77 @@ RESULT = T.StructType(
         T.StructField("train_tokens", T.LongType()),
         T.StructField("base_score", T.DoubleType()),
         T.StructField("score", T.DoubleType()),
+        T.StructField("trie_score", T.DoubleType()),
     ]
 )
 
 
-def document_scores(stored: DataFrame, words: DataFrame, total: int, distinct: int, prior: float) -> DataFrame:
-    """Sums over the tokens of every document, block by block."""
-    answers = stored.where("word IS NOT NULL").select("block", "idx", "token", "word").join(words, "word")
-    none = {n: F.lit(None).cast(t).alias(n) for n, t in (("idx", "int"), ("token", "int"), ("c", "long"), ("lp", "double"))}
-    texts = stored.where("texts IS NOT NULL")
-    dealt = (
-        answers.select("block", F.lit(None).cast("binary").alias("texts"), "idx", "token", "c", "lp")
-        .unionByName(texts.select("block", "texts", none["idx"], none["token"], none["c"], none["lp"]))
-        .repartition("block")
-        .sortWithinPartitions("block")
-    )
+def scored_texts(
+    texts: list[bytes], kinds: list[int], order: int, prior: float, lp_of: Callable, count_of: Callable, hashes: WordHashes, below: float
+) -> list[np.ndarray]:
+    """Tokens, known tokens, base score, score and trie score of some texts."""
+    raw = b"".join(texts)
+    lp = lp_of(text_grams(texts, kinds, order))
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    begins = np.cumsum(sizes) - sizes
+    first = np.zeros(len(raw), bool)
+    first[1:] = np.frombuffer(raw, np.uint8)[:-1] == ord(" ")
+    first[begins] = True
+    starts = np.flatnonzero(first)
+    word = hashes(tokens(raw))
+    count = count_of(word)
+    cut = np.searchsorted(starts, begins)
+    many = np.diff(cut, append=len(starts))
+    p = np.add.reduceat(lp, starts)
+    equal, before = earlier(word, many)
+    # a token too unlikely for a double keeps its exact logarithm where it is new
+    with np.errstate(divide="ignore"):
+        ahead = np.where(equal > 0, np.log10(equal + prior * 10.0**p), p + np.log10(prior))
+    return [
+        many,
+        np.add.reduceat((count > 0).astype(np.int64), cut),
+        np.add.reduceat(np.log10(count + 0.1) - below, cut),
+        np.add.reduceat(ahead - np.log10(before + prior), cut),
+        np.add.reduceat(p, cut),
+    ]
+
+
+def document_scores(stored: DataFrame, told: DataFrame, order: int, prior: float, total: int, distinct: int) -> DataFrame:
+    """Sums over the texts of every block from the answers to its keys."""
     arrow = to_arrow_schema(RESULT)
+    names = [f.name for f in BLOCKS]
+    both = told.where("block IS NOT NULL").select(*names).unionByName(stored.where(F.col("kind") == TEXTS).select(*names))
     below = np.log10(total + 0.1 * (distinct + 1))
 
+    def looked_up(parts: list[tuple[bytes, bytes]], kind: type) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.concatenate([np.zeros(0, np.int64), *(unpack_keys(k) for k, _ in parts)])
+        values = np.concatenate([np.zeros(0, kind), *(unpack(v, kind) for _, v in parts)])
+        by_key = np.argsort(keys, kind="stable")
+        return keys[by_key], values[by_key]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, parts in grouped(batches, "block"):
-            rows = pa.Table.from_batches(parts)
-            told = rows.filter(rows["texts"].is_null())
-            place = told["idx"].to_numpy()
-            c, lp = np.zeros(len(place)), np.zeros(len(place))
-            c[place], lp[place] = told["c"].to_numpy(), told["lp"].to_numpy()
-            token = np.zeros(len(place), np.int32)
-            token[place] = told["token"].to_numpy()
-            base, p = np.log10(c + 0.1) - below, prior * 10.0**lp
-            for packed in rows.filter(rows["texts"].is_valid())["texts"].to_pylist():
-                ids, sizes, idx = unpack_texts(packed)
-                equal, before = earlier(token[idx], sizes)
-                # a token too unlikely for a double keeps its exact logarithm where it is new
-                with np.errstate(divide="ignore"):
-                    ahead = np.where(equal > 0, np.log10(equal + p[idx]), lp[idx] + np.log10(prior))
-                cut = np.cumsum(sizes) - sizes
-                yield _batch(
-                    arrow,
-                    len(ids),
-                    doc_id=ids,
-                    held_out=[held_out(i) for i in ids],
-                    n_tokens=sizes,
-                    n_known=np.add.reduceat((c[idx] > 0).astype(np.int64), cut),
-                    train_tokens=np.full(len(ids), total),
-                    base_score=np.add.reduceat(base[idx], cut),
-                    score=np.add.reduceat(ahead - np.log10(before + prior), cut),
-                )
-
-    return dealt.mapInArrow(run, RESULT)
+        now, hashes = None, WordHashes()
+        held: dict[int, list] = {}
+        lp_of = count_of = None
+        for batch in batches:
+            for block, kind, data, counts, _ in zip(*(c.to_pylist() for c in batch.columns)):
+                if block != now:
+                    now, held, lp_of = block, {GRAMS: [], WORDS: []}, None
+                if kind != TEXTS:
+                    held[kind].append((data, counts))
+                    continue
+                if lp_of is None:
+                    grams, lp = looked_up(held[GRAMS], np.float64)
+                    words, count = looked_up(held[WORDS], np.int64)
+                    gram_places, word_places, held = Places(grams), Places(words), {}
+                    lp_of = lambda x, lp=lp, at=gram_places: lp[at.find(x)]
+                    count_of = lambda x, n=count, at=word_places: n[at.find(x)]
+                ids, kinds, texts = unpack_texts(data)
+                made = scored_texts(texts, kinds, order, prior, lp_of, count_of, hashes, below)
+                fixed = [ids, [held_out(i) for i in ids], made[0], made[1], np.full(len(ids), total)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([*fixed, *made[2:]], arrow)], schema=arrow)
+
+    return both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(run, RESULT)
 
 
 def score_documents(
@@ -488,47 +586,23 @@ def score_documents(
     block_bytes: int = BLOCK_BYTES,
     doc_id: str = "doc_id",
     text: str = "text",
-    context: str | None = "lang",
-    running: bool = False,
+    context: str | None = None,
+    heavy: int = HEAVY,
+    part_keys: int = PART_KEYS,
 ) -> DataFrame:
-    """doc_id, held_out, token counts, base score and model score of every document."""
-    tail = order if running else 0
-    stored = settle(blocks(docs, doc_id, text, context, block_bytes, tail))
-    rows = stored.where("word IS NOT NULL")
-    groups = max(1, -(-rows.count() // GROUP_ROWS))
-    spelled = F.expr(f"substring(word, {2 + tail})")
-    counted = (
-        rows.select(F.pmod(F.xxhash64("word" if tail else spelled), F.lit(groups)).alias("grp"), "word", "n")
-        .repartition("grp")  # a word has one row per block, and its classes meet here
-        .groupBy("grp", "word")
-        .agg(F.sum("n").alias("c"))
-    )
-    if tail:
-        # a frequent token has rows for all that comes before it: summed before they meet
-        tokens = settle(counted)
-        totals = settle(tokens.groupBy(spelled.alias("token")).agg(F.sum("c").alias("total")))
-        sums = totals.agg(F.sum("total").alias("total"), F.count(F.when(F.col("total") > 0, 1)).alias("distinct")).first()
-        words = settle(tokens.withColumn("token", spelled).join(totals, "token").select("grp", "word", "c", "total"))
-    else:
-        same = Window.partitionBy("grp", spelled)  # at most one row per class
-        words = settle(
-            counted.select(
-                "grp",
-                "word",
-                "c",
-                F.sum("c").over(same).alias("total"),
-                (F.row_number().over(same.orderBy("word")) == 1).alias("first"),
-            )
-        )
-        known = F.count(F.when((F.col("total") > 0) & F.col("first"), 1))
-        sums = words.agg(F.sum("c").alias("total"), known.alias("distinct")).first()
-    grams = settle(group_grams(words.repartition("grp").sortWithinPartitions("grp"), order, tail))
-    scored = score_grams(grams.groupBy("gram").agg(F.sum("n").alias("n")), order)
-    told = settle(word_scores(words, grams, scored, order, tail))
-    return document_scores(stored, told, sums["total"] or 0, sums["distinct"], prior)
+    """doc_id, held_out, token counts, base score, model score and the trie's own score of every document."""
+    if not 2 <= order <= 6:
+        raise ValueError("a gram has room for 2 to 6 bytes of context")
+    stored = settle(blocks(docs, order, doc_id, text, context, block_bytes))
+    sizes = {r["kind"]: r["n"] for r in stored.where(F.col("kind") != TEXTS).groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    many = {k: min(MOST_PARTS, max(1, -(-sizes.get(k, 0) // part_keys))) for k in (GRAMS, WORDS)}
+    split = split_ends(stored.where(F.col("kind") == GRAMS), order, heavy)
+    told = settle(answers(dealt(stored, split, many[GRAMS], many[WORDS]), split, order))
+    sums = told.where("block IS NULL").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct")).first()
+    return document_scores(stored, told, order, prior, sums["total"] or 0, sums["distinct"] or 0)
 
 
 @query("op4_ppm")
 def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by a model that has learned from nine tenths of them."""
-    return score_documents(table(spark, sf_dir, "documents"), running=True)
+    return score_documents(table(spark, sf_dir, "documents"))

@@ -235,92 +235,35 @@ def test_taken_words_come_near(spark):
 # --- language model --------------------------------------------------------------------------------
 
 
-def test_ppm_equals_a_dictionary_trie(spark, documents):
-    order, prior = 4, 50.0
-    rows = documents.select("doc_id", "text", "lang").where("length(text) < 3000").collect()
-    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
-    got = {r.doc_id: r for r in ppm.score_documents(frame, order=order, prior=prior, block_bytes=20_000).collect()}
-
-    def tokens(text):
-        return text.encode().lower().split() + [ppm.END]
-
-    def spelled(w):
-        return b" " * order + (w if w == ppm.END else w + b" ")
+def plain_tokens(text):
+    return (text or "").encode().lower().split() + [ppm.END]
 
-    words, kinds = collections.Counter(), collections.Counter()
-    for r in rows:
-        if not ppm.held_out(r.doc_id):
-            words.update(tokens(r.text))
-            kinds.update((r.lang, w) for w in tokens(r.text))
-    met = collections.defaultdict(collections.Counter)
-    for (lang, w), c in kinds.items():
-        x = spelled(w)
-        for i in range(order, len(x)):
-            for k in range(order + 1):
-                met[lang, x[i - k : i]][x[i]] += c
-    total, distinct = sum(words.values()), len(words)
-
-    def chance(lang, w):
-        x, out = spelled(w), 0.0
-        for i in range(order, len(x)):
-            gone = set()
-            for k in range(order, -1, -1):
-                here = {y: c for y, c in met.get((lang, x[i - k : i]), {}).items() if y not in gone}
-                if not here:
-                    continue
-                n = sum(here.values())
-                if x[i] in here:
-                    out += math.log10((2 * here[x[i]] - 1) / (2 * n))
-                    break
-                out += math.log10(len(here) / (2 * n))
-                gone |= set(here)
-            else:
-                out -= math.log10(256 - len(gone))
-        return out
 
-    for r in rows:
-        t, seen, score = tokens(r.text), collections.Counter(), 0.0
-        for j, w in enumerate(t):
-            score += math.log10((seen[w] + prior * 10 ** chance(r.lang, w)) / (j + prior))
-            seen[w] += 1
-        base = sum(math.log10((words[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in t)
-        g = got[r.doc_id]
-        assert (g.n_tokens, g.n_known, g.train_tokens) == (len(t), sum(w in words for w in t), total)
-        assert g.score == pytest.approx(score, rel=1e-9) and g.base_score == pytest.approx(base, rel=1e-9)
+def plain_spelled(text, order):
+    """The context of full length and the bytes of each token."""
+    before = b" " * order
+    for w in plain_tokens(text):
+        yield before[-order:] + (w if w == ppm.END else w + b" ")
+        before += w + b" "
 
 
-def test_ppm_contexts_reach_into_earlier_words(spark):
-    order, prior = 6, 50.0
-    rows = [(i, " ".join(("one two three", "four five a b")[(i + k) % 2] for k in range(1 + i % 4)), "x") for i in range(60)]
-    rows += [(100 + k, t, "x") for k, t in enumerate(("one two three four", "four two three one", "  One\ntwo three\tfour ", "", None))]
-    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
-    got = {r.doc_id: r for r in ppm.score_documents(frame, order=order, prior=prior, block_bytes=200, running=True).collect()}
-
-    def tokens(text):
-        return (text or "").encode().lower().split() + [ppm.END]
-
-    def spelled(text):
-        """(context and bytes of each token)"""
-        before = b" " * order
-        for w in tokens(text):
-            yield before[-order:] + (w if w == ppm.END else w + b" ")
-            before += w + b" "
-
+def plain_scores(rows, order, prior, classes=False):
+    """{id: (tokens, known, total, base, score, trie)} by a dictionary of contexts."""
     met, words = collections.defaultdict(collections.Counter), collections.Counter()
-    for i, text, _ in rows:
+    for i, text, lang in rows:
         if not ppm.held_out(i):
-            words.update(tokens(text))
-            for x in spelled(text):
+            words.update(plain_tokens(text))
+            for x in plain_spelled(text, order):
                 for at in range(order, len(x)):
                     for k in range(order + 1):
-                        met[x[at - k : at]][x[at]] += 1
+                        met[classes and lang, x[at - k : at]][x[at]] += 1
 
-    def chance(x):
+    def chance(lang, x):
         out = 0.0
         for at in range(order, len(x)):
             gone = set()
             for k in range(order, -1, -1):
-                here = {y: c for y, c in met.get(x[at - k : at], {}).items() if y not in gone}
+                here = {y: c for y, c in met.get((lang, x[at - k : at]), {}).items() if y not in gone}
                 if not here:
                     continue
                 n = sum(here.values())
@@ -333,35 +276,72 @@ def test_ppm_contexts_reach_into_earlier_words(spark):
                 out -= math.log10(256 - len(gone))
         return out
 
-    total, distinct = sum(words.values()), len(words)
-    for i, text, _ in rows:
-        score, seen = 0.0, collections.Counter()
-        for j, (w, x) in enumerate(zip(tokens(text), spelled(text))):
-            score += math.log10((seen[w] + prior * 10 ** chance(x)) / (j + prior))
+    total, distinct, result = sum(words.values()), len(words), {}
+    for i, text, lang in rows:
+        t, score, trie, seen = plain_tokens(text), 0.0, 0.0, collections.Counter()
+        for j, (w, x) in enumerate(zip(t, plain_spelled(text, order))):
+            p = chance(classes and lang, x)
+            score += math.log10((seen[w] + prior * 10**p) / (j + prior))
+            trie += p
             seen[w] += 1
-        base = sum(math.log10((words[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in tokens(text))
-        assert got[i].score == pytest.approx(score, rel=1e-9) and got[i].base_score == pytest.approx(base, rel=1e-9)
-        assert (got[i].n_known, got[i].train_tokens) == (sum(w in words for w in tokens(text)), total)
-    assert abs(got[100].score - got[101].score) > 0.1 and got[100].score == pytest.approx(got[102].score)
+        base = sum(math.log10((words[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in t)
+        result[i] = len(t), sum(w in words for w in t), total, base, score, trie
+    return result
+
+
+@pytest.mark.parametrize("order, context, heavy", [(4, "lang", 10**9), (6, None, 40), (3, "lang", 5), (2, None, 1)])
+def test_ppm_equals_a_dictionary_trie(spark, documents, order, context, heavy):
+    prior = 50.0
+    rows = [tuple(r) for r in documents.select("doc_id", "text", "lang").where("length(text) < 700").collect()]
+    rows += [(10_000 + k, t, "en") for k, t in enumerate((None, "", "  One\ntwo ", "One One ONE " * 30))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = ppm.score_documents(frame, order=order, prior=prior, block_bytes=9_000, context=context, heavy=heavy, part_keys=2_000).collect()
+    want = plain_scores(rows, order, prior, context is not None)
+    assert len(got) == len(rows)
+    for g in got:
+        many, known, total, base, score, trie = want[g.doc_id]
+        assert (g.n_tokens, g.n_known, g.train_tokens) == (many, known, total)
+        assert (g.base_score, g.score, g.trie_score) == pytest.approx((base, score, trie), rel=1e-9)
+
+
+def test_ppm_contexts_reach_into_earlier_words(spark):
+    rows = [(i, " ".join(("one two three", "four five a b")[(i + k) % 2] for k in range(1 + i % 4)), "x") for i in range(60)]
+    rows += [(100 + k, t, "x") for k, t in enumerate(("one two three four", "four two three one", "  One\ntwo three\tfour "))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: r.trie_score for r in ppm.score_documents(frame, block_bytes=200).collect()}
+    assert abs(got[100] - got[101]) > 0.1 and got[100] == pytest.approx(got[102])
 
 
 def test_ppm_sums_to_one():
-    # all bytes that can follow one context, seen ones and new ones
-    order, words = 3, [bytes([1]) + w for w in (b"ab", b"abc", b"ac", b"b", b"\n")]
-    grams, _ = ppm.word_grams(words, order)
-    keys, n = np.unique(grams, return_counts=True)
+    # all bytes that can follow one context, seen ones and new ones, with and without a split of the ends
+    order = 3
+    grams = ppm.text_grams([b"ab abc ac b \n", b"abab \n"], [1, 1], order)
+    keys, n = ppm.counted(grams)
+    split = {1: ppm.merged([(keys & ppm.level_mask(1), n)])}
     for context in (b"  a", b" ab", b"zzz", b"   "):
         head = int.from_bytes(bytes([1] + [0] * (6 - order)) + context, "big") << 8
         wanted = np.array([head | b for b in range(256)], np.int64)
-        mine = (keys >> 8 & 0xFFFF) == (wanted[0] >> 8 & 0xFFFF)
-        low, place = np.unique(keys & ppm.level_mask(1), return_inverse=True)
-        lp = ppm.gram_scores(wanted, keys[mine], n[mine].astype(float), (low, np.bincount(place, n)), order)
-        assert (10**lp).sum() == pytest.approx(1.0)
+        for length in (2, 3):
+            mine = ppm._ends(keys, length) == ppm._ends(wanted[:1], length)
+            low = {**split, **({2: ppm.merged([(keys & ppm.level_mask(2), n)])} if length == 3 else {})}
+            lp = ppm.gram_scores(wanted, keys[mine], n[mine], low, order)
+            assert (10**lp).sum() == pytest.approx(1.0)
+
+
+def test_ppm_places_and_packed_keys():
+    draw = np.random.default_rng(0)
+    for n in (0, 1, 5, 40_000):
+        keys, counts = ppm.counted(draw.integers(0, 1 << 62, n))
+        assert (ppm.unpack_keys(ppm.pack_keys(keys)) == keys).all() and (ppm.unpack(ppm.pack(counts)) == counts).all()
+        order = draw.permutation(len(keys))
+        assert (ppm.Places(keys).find(keys[order]) == order).all()
 
 
 def test_ppm_beats_the_base_where_it_did_not_learn(spark):
-    rows = ppm.score_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").collect()
+    """The registered query, the trie alone as well."""
+    rows = ppm.op4_ppm(spark, "/root/testdata/sf0.01").where("held_out").collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+    assert sum(r.trie_score for r in rows) > sum(r.base_score for r in rows)
 
 
 # --- classifier ------------------------------------------------------------------------------------
