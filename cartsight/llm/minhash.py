@@ -25,7 +25,7 @@ named like a result column are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -48,6 +48,7 @@ ROWS = 5
 CHUNK = 512  # members of a bucket that are indexed together
 BY_HASH = 4  # bands whose first member is chosen by hash
 RESULT = ("n_shingles", "component_id", "kept")
+FEW = 1_000_000  # ids that are broadcast: 8 bytes each
 WORDS_KEPT = 500_000  # word hashes kept by a task
 FOLD = np.uint64(0x9E3779B97F4A7C15)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -125,8 +126,8 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def add_sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """All columns but ``_text``, with ``_n`` (set size), ``_digest`` (of the set), ``_keys`` and ``_set`` (its hashes as bytes)."""
-    fields = T.StructType.fromDDL("_n long, _digest binary, _keys array<long>, _set binary")
+    """All columns but ``_text``, with ``_n`` (set size), ``_digest`` (of the set) and ``_keys``."""
+    fields = T.StructType.fromDDL("_n long, _digest binary, _keys array<long>")
     kept = docs.drop("_text")
     names = kept.columns
     schema = T.StructType([*kept.schema.fields, *fields.fields])
@@ -139,13 +140,11 @@ def add_sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFr
             for at, n in slices(texts):
                 sets = [shingle_set(t, shingle, known) for t in texts.slice(at, n).to_pylist()]
                 keys = band_keys(sketches(sets, bands * rows), bands, rows).astype(np.int64)
-                data = [s.tobytes() for s in sets]
                 offsets = pa.array(np.arange(n + 1) * bands, pa.int32())
                 made = [
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(d) for d in data], pa.binary()),
+                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1))).cast(arrow.types[2]),
-                    pa.array(data, pa.binary()),
                 ]
                 own = [batch.column(batch.schema.get_field_index(c)).slice(at, n) for c in names]
                 yield pa.RecordBatch.from_arrays([*own, *made], names=[*names, *arrow.names])
@@ -153,6 +152,28 @@ def add_sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFr
     return docs.select(*names, "_text").mapInArrow(run, schema)
 
 
+def whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(node, set): the sets, as bytes, of some nodes. ``docs`` has _id and _text; ``wanted`` is stored: node, id, digest.
+
+    Texts are read again for these nodes alone, found by their ids; rows that repeat an id are told apart by the digest.
+    """
+    ids = wanted.select(F.col("id").alias("_wanted")).distinct()
+    if wanted.count() <= FEW:
+        ids = F.broadcast(ids)
+    again = docs.select("_id", "_text").join(ids, F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi").select("_text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
+        for batch in batches:
+            for at, n in slices(batch.column(0)):
+                data = [shingle_set(t, shingle, known).tobytes() for t in batch.column(0).slice(at, n).to_pylist()]
+                made = [pa.array([xxhash.xxh3_128_digest(d) for d in data], pa.binary()), pa.array(data, pa.binary())]
+                yield pa.RecordBatch.from_arrays(made, names=["of", "set"])
+
+    found = again.mapInArrow(run, "of binary, set binary").join(wanted, F.col("of") == F.col("digest"))
+    return found.select("node", "set").dropDuplicates(["node"])
+
+
 # --- verification ---------------------------------------------------------------------------------
 
 
@@ -300,16 +321,18 @@ def bucket_links(members: DataFrame, sets: DataFrame, percent: int, chunk: int =
 # --- the operator ---------------------------------------------------------------------------------
 
 
-def similar_groups(nodes: DataFrame, sets: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
+def similar_groups(
+    nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int = PERCENT, chunk: int = CHUNK
+) -> DataFrame:
     """(node, root) of every node with a link to another.
 
-    ``nodes`` has node, n and keys (one per band); ``sets`` node and set, of these nodes at least.
+    ``nodes`` has node, n and keys (one per band); ``sets_of`` gives (node, set) of a stored table of some nodes.
     """
     every = settle(nodes.select("node", "n", F.posexplode("keys").alias("band", "key")))
     shared = every.groupBy("band", "key").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("band", "key")
     keyed = settle(every.join(shared, ["band", "key"]))
-    # only the sets of nodes that share a bucket go on
-    sets = settle(sets.join(keyed.select("node").distinct(), "node", "left_semi"))
+    # only nodes that share a bucket need their sets
+    sets = settle(sets_of(settle(keyed.select("node").distinct())))
     links = verified(first_pairs(keyed, percent), sets, percent)
     roots = settle(connected_components(links))
     more = settle(bucket_links(settle(open_buckets(keyed, roots)), sets, percent, chunk))
@@ -347,11 +370,15 @@ def near_groups(
     )
     made = settle(add_sketches(marked, shingle, bands, rows))
     least = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row")))
-    groups = settle(made.where("_n > 0").groupBy("_digest").agg(least.alias("least"), F.min("_row").alias("node")))
-    # a node is the first row with its set; the sets are read later, for those that need it
+    # a node is the row that its set's group would keep
+    groups = settle(made.where("_n > 0").groupBy("_digest").agg(least.alias("least")).withColumn("node", F.col("least.row")))
     nodes = made.select(F.col("_row").alias("node"), F.col("_n").alias("n"), F.col("_keys").alias("keys"))
-    sets = made.select(F.col("_row").alias("node"), F.col("_set").alias("set"))
-    roots = settle(similar_groups(nodes.join(groups.select("node"), "node", "left_semi"), sets, percent, chunk))
+    own = groups.select("node", F.col("least.id").alias("id"), F.col("_digest").alias("digest"))
+
+    def sets_of(some: DataFrame) -> DataFrame:
+        return whole_sets(marked, settle(own.join(some, "node", "left_semi")), shingle)
+
+    roots = settle(similar_groups(nodes.join(groups.select("node"), "node", "left_semi"), sets_of, percent, chunk))
     roots = roots.withColumnRenamed("node", "of")
     linked = groups.join(roots, F.col("node") == F.col("of")).select("node", "root", "least")
     smallest = linked.groupBy("root").agg(F.min("least").alias("owner"))
