@@ -40,7 +40,6 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +49,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from cartsight.llm.registry import query, table
 from cartsight.llm.rows import slices
+from cartsight.llm.words import span_hashes
 from cartsight.sources.tables import settle
 
 ORDER = 6
@@ -61,7 +61,6 @@ PART_KEYS = 1 << 20  # keys, of all blocks together, in a part
 MOST_PARTS = 20_000  # rows of a block's keys; beyond, parts grow with the corpus, but their distinct keys hardly do
 HEAVY = 1 << 22  # grams of all blocks that may share the end of their context
 MERGED = 1 << 22  # keys unpacked before equal ones are added up
-WORDS_KEPT = 500_000
 END = b"\n"
 FOLDS, HELD_OUT = 10, 0
 TEXTS, GRAMS, WORDS = 2, 0, 1  # kinds of a block's rows; answers come before texts
@@ -76,13 +75,13 @@ def held_out(doc_id: int | None) -> bool:
 
 
 def pack(values: np.ndarray) -> bytes:
-    """64-bit values, with equal bytes standing together."""
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    """Numbers, with bytes of one place standing together."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpack(data: bytes, kind: type = np.int64) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
@@ -95,9 +94,16 @@ def unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data))
 
 
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """The first place of each value of sorted keys."""
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
 def counted(keys: np.ndarray) -> Counts:
     keys = np.sort(keys)
-    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1)) if len(keys) else np.zeros(0, np.int64)
+    first = _firsts(keys)
     return keys[first], np.diff(first, append=len(keys))
 
 
@@ -107,7 +113,7 @@ def merged(parts: Sequence[Counts]) -> Counts:
     counts = np.concatenate([np.zeros(0, np.int64), *(c for _, c in parts)])
     order = np.argsort(keys, kind="stable")  # merges runs that are sorted already
     keys = keys[order]
-    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1)) if len(keys) else np.zeros(0, np.int64)
+    first = _firsts(keys)
     return keys[first], np.add.reduceat(counts[order], first) if len(keys) else counts
 
 
@@ -149,21 +155,18 @@ def spelled(text: str | None) -> bytes:
     return b" ".join([*words, END])
 
 
-def tokens(raw: bytes) -> list[bytes]:
-    """Words and ends of spelled texts that follow each other."""
-    return raw.replace(END, END + b" ").split(b" ")[:-1]
-
+def token_starts(raw: bytes, begins: np.ndarray) -> np.ndarray:
+    """Where the words and ends begin in spelled texts that follow each other."""
+    first = np.zeros(len(raw), bool)
+    first[1:] = np.frombuffer(raw, np.uint8)[:-1] == ord(" ")
+    first[begins] = True
+    return np.flatnonzero(first)
 
-class WordHashes:
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        for w in set(words).difference(self.known):
-            self.known[w] = xxhash.xxh64_intdigest(w) >> 1  # not negative, so that keys sort alike everywhere
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+def token_hashes(raw: bytes, starts: np.ndarray) -> np.ndarray:
+    """A hash of each token, not negative, so that keys sort alike everywhere."""
+    hashes = span_hashes(np.frombuffer(raw, np.uint8), starts, np.append(starts[1:], len(raw)))
+    return (hashes >> np.uint64(1)).astype(np.int64)
 
 
 _KIND_BITS = 0x7F << 56  # of the class in a gram
@@ -232,8 +235,8 @@ def unpack_texts(packed: bytes) -> tuple[list[int | None], list[int], list[bytes
 class Block:
     """The texts of some documents not sent on yet, and the grams and words of all of them."""
 
-    def __init__(self, number: int, order: int, hashes: WordHashes) -> None:
-        self.number, self.order, self.hashes = number, order, hashes
+    def __init__(self, number: int, order: int) -> None:
+        self.number, self.order = number, order
         self.bytes = self.held = 0
         self.docs: list[tuple[int | None, int, bytes]] = []
         self.lists: dict[int, list[Counts]] = {GRAMS: [], WORDS: []}
@@ -249,10 +252,10 @@ class Block:
         for learned in (True, False):
             own = [(k, t) for i, k, t in self.docs if held_out(i) != learned]
             texts = [t for _, t in own]
-            for what, keys in (
-                (GRAMS, text_grams(texts, [k for k, _ in own], self.order)),
-                (WORDS, self.hashes(tokens(b"".join(texts)))),
-            ):
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+            raw = b"".join(texts)
+            words = token_hashes(raw, token_starts(raw, np.cumsum(sizes) - sizes))
+            for what, keys in ((GRAMS, text_grams(texts, [k for k, _ in own], self.order)), (WORDS, words)):
                 values, n = counted(keys)
                 self.lists[what].append((values, n if learned else np.zeros_like(n)))
         ids, kinds, texts = (list(x) for x in zip(*self.docs))
@@ -279,8 +282,8 @@ def blocks(
     run_bytes = min(RUN_BYTES, block_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, hashes = TaskContext.get().partitionId() << 32, WordHashes()
-        block = Block(number, order, hashes)
+        number = TaskContext.get().partitionId() << 32
+        block = Block(number, order)
         for batch in batches:
             for at, n in slices(batch.column(2)):
                 for row in zip(*(c.slice(at, n).to_pylist() for c in batch.columns)):
@@ -290,7 +293,7 @@ def blocks(
                     if block.bytes >= block_bytes:
                         yield _batch(arrow, [*([block.take_texts()] if block.docs else []), *block.take_lists()])
                         number += 1
-                        block = Block(number, order, hashes)
+                        block = Block(number, order)
         if block.bytes:
             yield _batch(arrow, [*([block.take_texts()] if block.docs else []), *block.take_lists()])
 
@@ -418,8 +421,8 @@ def gram_scores(wanted: np.ndarray, grams: np.ndarray, n: np.ndarray, low: dict[
     return score
 
 
-def dealt(stored: DataFrame, split: Split, gram_parts: int, word_parts: int) -> DataFrame:
-    """The grams and words of every block by part; parts of words are numbered behind those of grams."""
+def dealt(stored: DataFrame, what: int, many: int, split: Split) -> DataFrame:
+    """The grams or words of every block by part."""
     schema = T.StructType([T.StructField("part", T.LongType()), *BLOCKS.fields])
     arrow = to_arrow_schema(schema)
 
@@ -427,7 +430,7 @@ def dealt(stored: DataFrame, split: Split, gram_parts: int, word_parts: int) ->
         for batch in batches:
             for block, kind, keys, counts, _ in zip(*(c.to_pylist() for c in batch.columns)):
                 keys, counts = unpack_keys(keys), unpack(counts)
-                part = split.parts(keys, gram_parts) if kind == GRAMS else gram_parts + keys % word_parts
+                part = split.parts(keys, many) if kind == GRAMS else keys % many
                 order = np.argsort(part, kind="stable")
                 keys, counts, part = keys[order], counts[order], part[order]
                 cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(part)]
@@ -435,14 +438,14 @@ def dealt(stored: DataFrame, split: Split, gram_parts: int, word_parts: int) ->
                 for at in range(0, len(rows), 64):
                     yield _batch(arrow, rows[at : at + 64])
 
-    return stored.where(F.col("kind") != TEXTS).select(*(f.name for f in BLOCKS)).mapInArrow(run, schema)
+    return stored.where(F.col("kind") == what).select(*(f.name for f in BLOCKS)).mapInArrow(run, schema)
 
 
 ANSWERS = T.StructType([*BLOCKS.fields, T.StructField("total", T.LongType()), T.StructField("distinct", T.LongType())])
 
 
 def answers(parts: DataFrame, split: Split, order: int) -> DataFrame:
-    """For every block's keys of a part, in ``counts``, the log probabilities of grams or the training counts of words.
+    """For every block's keys of a part, in ``counts``, the log probabilities of grams (24 bits) or the training counts of words.
 
     A row without a block has the sum and number of the part's words that were met in training.
     """
@@ -459,7 +462,7 @@ def answers(parts: DataFrame, split: Split, order: int) -> DataFrame:
         del held
         if kind == GRAMS:
             met = n > 0
-            value = gram_scores(every, every[met], n[met], split.low, order)
+            value = gram_scores(every, every[met], n[met], split.low, order).astype(np.float32)
         else:
             value = n
             yield _batch(arrow, [(None, kind, None, None, 0, int(n.sum()), int((n > 0).sum()))])
@@ -512,18 +515,15 @@ RESULT = T.StructType(
 
 
 def scored_texts(
-    texts: list[bytes], kinds: list[int], order: int, prior: float, lp_of: Callable, count_of: Callable, hashes: WordHashes, below: float
+    texts: list[bytes], kinds: list[int], order: int, prior: float, lp_of: Callable, count_of: Callable, below: float
 ) -> list[np.ndarray]:
     """Tokens, known tokens, base score, score and trie score of some texts."""
     raw = b"".join(texts)
-    lp = lp_of(text_grams(texts, kinds, order))
+    lp = lp_of(text_grams(texts, kinds, order)).astype(np.float64)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     begins = np.cumsum(sizes) - sizes
-    first = np.zeros(len(raw), bool)
-    first[1:] = np.frombuffer(raw, np.uint8)[:-1] == ord(" ")
-    first[begins] = True
-    starts = np.flatnonzero(first)
-    word = hashes(tokens(raw))
+    starts = token_starts(raw, begins)
+    word = token_hashes(raw, starts)
     count = count_of(word)
     cut = np.searchsorted(starts, begins)
     many = np.diff(cut, append=len(starts))
@@ -545,7 +545,7 @@ def document_scores(stored: DataFrame, told: DataFrame, order: int, prior: float
     """Sums over the texts of every block from the answers to its keys."""
     arrow = to_arrow_schema(RESULT)
     names = [f.name for f in BLOCKS]
-    both = told.where("block IS NOT NULL").select(*names).unionByName(stored.where(F.col("kind") == TEXTS).select(*names))
+    both = told.select(*names).unionByName(stored.where(F.col("kind") == TEXTS).select(*names))
     below = np.log10(total + 0.1 * (distinct + 1))
 
     def looked_up(parts: list[tuple[bytes, bytes]], kind: type) -> tuple[np.ndarray, np.ndarray]:
@@ -555,7 +555,7 @@ def document_scores(stored: DataFrame, told: DataFrame, order: int, prior: float
         return keys[by_key], values[by_key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, hashes = None, WordHashes()
+        now = None
         held: dict[int, list] = {}
         lp_of = count_of = None
         for batch in batches:
@@ -566,13 +566,13 @@ def document_scores(stored: DataFrame, told: DataFrame, order: int, prior: float
                     held[kind].append((data, counts))
                     continue
                 if lp_of is None:
-                    grams, lp = looked_up(held[GRAMS], np.float64)
+                    grams, lp = looked_up(held[GRAMS], np.float32)
                     words, count = looked_up(held[WORDS], np.int64)
                     gram_places, word_places, held = Places(grams), Places(words), {}
                     lp_of = lambda x, lp=lp, at=gram_places: lp[at.find(x)]
                     count_of = lambda x, n=count, at=word_places: n[at.find(x)]
                 ids, kinds, texts = unpack_texts(data)
-                made = scored_texts(texts, kinds, order, prior, lp_of, count_of, hashes, below)
+                made = scored_texts(texts, kinds, order, prior, lp_of, count_of, below)
                 fixed = [ids, [held_out(i) for i in ids], made[0], made[1], np.full(len(ids), total)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([*fixed, *made[2:]], arrow)], schema=arrow)
 
@@ -597,8 +597,10 @@ def score_documents(
     sizes = {r["kind"]: r["n"] for r in stored.where(F.col("kind") != TEXTS).groupBy("kind").agg(F.sum("n").alias("n")).collect()}
     many = {k: min(MOST_PARTS, max(1, -(-sizes.get(k, 0) // part_keys))) for k in (GRAMS, WORDS)}
     split = split_ends(stored.where(F.col("kind") == GRAMS), order, heavy)
-    told = settle(answers(dealt(stored, split, many[GRAMS], many[WORDS]), split, order))
-    sums = told.where("block IS NULL").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct")).first()
+    words = settle(answers(dealt(stored, WORDS, many[WORDS], split), split, order))
+    sums = words.where("block IS NULL").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct")).first()
+    grams = answers(dealt(stored, GRAMS, many[GRAMS], split), split, order)
+    told = words.where("block IS NOT NULL").unionByName(grams)
     return document_scores(stored, told, order, prior, sums["total"] or 0, sums["distinct"] or 0)
 
 
