@@ -92,8 +92,7 @@ def test_buckets_whose_first_is_linked_with_few(spark, chunk):
 def test_second_step_finds_what_the_first_leaves(spark, chunk):
     """One bucket with known components; all links between them must come from the bucket's task."""
     rows = corpus(seed=4, groups=6, size=9)
-    known = {}
-    hashed = [(i, minhash.shingle_set(t, 3, known)) for i, t in rows]
+    hashed = list(zip([i for i, _ in rows], minhash.shingle_sets([t for _, t in rows], 3)))
     sets = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in hashed], "node long, set binary")
     members = settle(
         spark.createDataFrame([(0, 1, i, len(s), i, rows[0][0], len(rows)) for i, s in hashed], "band int, key long, node long, n long, root long, main long, many long")
