@@ -39,6 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from cartsight.llm.components import connected_components
 from cartsight.llm.registry import query, table
 from cartsight.llm.rows import packed, slices, unpacked, without
+from cartsight.llm.words import hashed_words
 from cartsight.sources.tables import settle
 
 SHINGLE = 3
@@ -49,7 +50,6 @@ CHUNK = 512  # members of a bucket that are indexed together
 BY_HASH = 4  # bands whose first member is chosen by hash
 RESULT = ("n_shingles", "component_id", "kept")
 FEW = 1_000_000  # ids that are broadcast: 8 bytes each
-WORDS_KEPT = 500_000  # word hashes kept by a task
 FOLD = np.uint64(0x9E3779B97F4A7C15)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -64,26 +64,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(text: str | None, shingle: int, known: dict[bytes, int]) -> np.ndarray:
-    """The distinct shingles' hashes, in order. ``known`` keeps the hashes of words."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(known) > WORDS_KEPT:
-        known.clear()
-    hashes = np.empty(len(words), np.uint64)
-    for i, w in enumerate(words):
-        h = known.get(w)
-        if h is None:
-            h = xxhash.xxh64_intdigest(w, seed=SHINGLE)
-            if len(w) <= 64:
-                known[w] = h
-        hashes[i] = h
-    size = min(shingle, len(words))
-    out = np.full(len(words) - size + 1, size, np.uint64)
-    for k in range(size):
-        out = mixed(out * FOLD + hashes[k : k + len(out)])
-    return np.unique(out)
+def shingle_sets(texts: Sequence[str | None], shingle: int) -> list[np.ndarray]:
+    """For each text the distinct shingles' hashes, in order."""
+    words, sizes = hashed_words(texts)
+    out, at = [], 0
+    for n in sizes.tolist():
+        own, at = words[at : at + n], at + n
+        size = min(shingle, n)
+        joined = np.full(max(0, n - size + 1) if n else 0, size, np.uint64)
+        for k in range(size):
+            joined = mixed(joined * FOLD + own[k : k + len(joined)])
+        out.append(np.unique(joined))
+    return out
 
 
 def sketches(sets: Sequence[np.ndarray], size: int) -> np.ndarray:
@@ -134,11 +126,10 @@ def add_sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFr
     arrow = to_arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("_text"))
             for at, n in slices(texts):
-                sets = [shingle_set(t, shingle, known) for t in texts.slice(at, n).to_pylist()]
+                sets = shingle_sets(texts.slice(at, n).to_pylist(), shingle)
                 keys = band_keys(sketches(sets, bands * rows), bands, rows).astype(np.int64)
                 offsets = pa.array(np.arange(n + 1) * bands, pa.int32())
                 made = [
@@ -163,10 +154,9 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     again = docs.select("_id", "_text").join(ids, F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi").select("_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
         for batch in batches:
             for at, n in slices(batch.column(0)):
-                data = [shingle_set(t, shingle, known).tobytes() for t in batch.column(0).slice(at, n).to_pylist()]
+                data = [s.tobytes() for s in shingle_sets(batch.column(0).slice(at, n).to_pylist(), shingle)]
                 made = [pa.array([xxhash.xxh3_128_digest(d) for d in data], pa.binary()), pa.array(data, pa.binary())]
                 yield pa.RecordBatch.from_arrays(made, names=["of", "set"])
 
