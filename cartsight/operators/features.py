@@ -174,6 +174,30 @@ def with_category(ev: DataFrame, catalog: DataFrame, skew: SkewParams = SkewPara
     return join_lookup(ev, catalog.select("item_id", "category"), "item_id", skew=skew)
 
 
+def repeated_items(catalog: DataFrame) -> DataFrame:
+    """Items that the catalog lists more than once, with the number of rows."""
+    return catalog.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+
+
+def first_match(catalog: DataFrame, order: str | None = None) -> DataFrame:
+    """One row per item, the first by the column ``order`` (as read, without one), nulls last.
+
+    A repeated item would multiply the rows that are joined to it. ``_metadata`` of stored files gives a lasting order.
+    """
+    at = F.monotonically_increasing_id() if order is None else F.col(order)
+    rest = [c for c in catalog.columns if c != "item_id"]
+    placed = catalog.withColumn("_at", F.struct(at.isNull(), at, F.monotonically_increasing_id()))
+    first = placed.groupBy("item_id").agg(F.min_by(F.struct(*rest), "_at").alias("_first"))
+    return first.select("item_id", "_first.*").select(*catalog.columns)
+
+
+def assert_unique_items(catalog: DataFrame, shown: int = 10) -> None:
+    """Fail loudly, naming some items, when the catalog lists items more than once."""
+    wrong = repeated_items(catalog).orderBy(F.desc("n_rows"), "item_id").limit(shown).collect()
+    if wrong:
+        raise ValueError("Items listed more than once: " + ", ".join(f"{r['item_id']} ({r['n_rows']})" for r in wrong))
+
+
 def item_attributes(
     examples: DataFrame, catalog: DataFrame, skew: SkewParams = SkewParams()
 ) -> DataFrame:
@@ -208,12 +232,15 @@ def build_features(
     params: FeatureParams = FeatureParams(),
     skew: SkewParams = SkewParams(),
     cuts: Cuts | None = None,
+    catalog_order: str | None = None,
 ) -> DataFrame:
     """Labelled examples with all features.
 
     ``ev`` feeds several branches: hand in a stored or settled table. The sessions that qualify
-    are stored once, since examples and histories both start from them.
+    are stored once, since examples and histories both start from them. Of an item that the catalog lists several times
+    the first row counts, by ``catalog_order`` or as read.
     """
+    catalog = settle(first_match(catalog, catalog_order))
     cuts = cuts or time_cuts(ev, "user_id", "us", skew)
     sessions = settle(lookahead_span(session_context(ev, by), params.horizon_sessions, by))
     examples = training_examples(ev, by, params, sessions)
