@@ -3,10 +3,11 @@
 Scored tables carry ``label`` (0/1) and ``score`` (double). Two shapes of work appear:
 
 * Metrics over distinct scores (average precision, ROC area, curves) first aggregate to one row per
-  score, then take running sums. The scores are cut into pieces at driver-held quantiles, so no
-  task orders the whole table.
+  score, then take running sums. The scores are cut into pieces by a range partitioning, each with a carry of what
+  comes before it, so no task orders the whole table.
 * The top k percent follows from the running counts per score; rows are ordered only where k falls among ties.
-* Metrics over row positions (exact percentiles, top k per segment) need global row numbers. Rows are
+* Exact percentiles narrow a bracket of values by counting; nothing is ordered.
+* Metrics over row positions (top k per segment) need global row numbers. Rows are
   range-partitioned and sorted on a total order, numbered inside their partition, and shifted by the
   row counts of the partitions before (one number per partition).
 
@@ -31,6 +32,7 @@ from cartsight.sources.tables import settle
 
 TIE_BREAK = ("user_id", "item_id", "session_seq")
 FIXED_POINT = 1_000_000_000_000
+SKETCH = 10_000  # accuracy of sketched quantiles
 _SEQ = "_row_in_partition"
 
 
@@ -71,10 +73,25 @@ class ValueCuts:
 
 def value_cuts(df: DataFrame, at: str, pieces: int = 128, descending: bool = True) -> ValueCuts:
     probs = [i / pieces for i in range(1, pieces)]
-    found = df.agg(F.percentile_approx(at, probs, 10_000).alias("q")).first()["q"] or []
+    found = df.agg(F.percentile_approx(at, probs, SKETCH).alias("q")).first()["q"] or []
     return ValueCuts(at, tuple(sorted(set(found))), descending)
 
 
+class RangePieces:
+    """Pieces that a range partitioning has made (``in_range_pieces``), for ``running``."""
+
+    active = True
+    columns = (PIECE,)
+
+
+def in_range_pieces(df: DataFrame, order: Column, rows: int = 1_000_000) -> DataFrame:
+    """Rows with the number of the range of ``order`` that they lie in, of about ``rows`` rows each; stored, so that the ranges
+    stay as they are. ``df`` is stored as well."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(max(parts, df.count() // rows), order)
+    return settle(placed.withColumn(PIECE, F.spark_partition_id().cast("long")))
+
+
 def with_global_rank(
     df: DataFrame, order: Sequence[Column], name: str = "rank"
 ) -> DataFrame:
@@ -101,23 +118,77 @@ def by_score(tie_break: Sequence[str] = TIE_BREAK) -> list[Column]:
     return [F.col("score").desc(), *[F.col(c) for c in tie_break]]
 
 
+def values_at_ranks(df: DataFrame, value: str, ranks: Sequence[int]) -> dict[int, float]:
+    """The values at some places, from 1, of the ascending order, by narrowing; no row is sorted or shuffled.
+
+    Every place keeps a bracket of values that it lies in. A round takes the sketched quantiles around the place among the rows
+    inside the bracket, which are values of the table, and then counts the rows at and below them exactly. The
+    bracket shrinks to a few thousandths of its rows, or the place is met: ties of any size are one value. ``value`` has
+    no nulls, and a place is at most the number of rows.
+    """
+    x = F.col(value).cast("double")
+    rows = df.select(x.alias("x"))
+    n = rows.count()
+    found: dict[int, float] = {}
+    brackets = {r: (None, None, 0, n) for r in set(ranks)}  # above, below, rows not above, rows inside
+    while brackets:
+        inside = {
+            b: reduce(
+                Column.__and__,
+                [F.lit(True)] + ([F.col("x") > F.lit(b[0])] if b[0] is not None else []) + ([F.col("x") < F.lit(b[1])] if b[1] is not None else []),
+            )
+            for b in set(brackets.values())
+        }
+        some = rows.where(reduce(Column.__or__, inside.values()))
+        probs = {}
+        for b in inside:
+            own = [(r - b[2] - 0.5) / b[3] for r, mine in brackets.items() if mine == b]
+            probs[b] = sorted({min(1.0, max(0.0, p + d / SKETCH)) for p in own for d in (-2, 0, 2)})
+        order = list(inside)
+        sketch = some.agg(
+            *(F.percentile_approx(F.when(inside[b], F.col("x")), probs[b], SKETCH).alias(f"q_{k}") for k, b in enumerate(order))
+        ).first()
+        cuts = {b: sorted(set(sketch[f"q_{k}"])) for k, b in enumerate(order)}
+        counts = some.agg(
+            *(
+                F.count_if(inside[b] & test).alias(f"{name}_{k}_{i}")
+                for k, b in enumerate(order)
+                for i, c in enumerate(cuts[b])
+                for name, test in (("below", F.col("x") < F.lit(c)), ("at", F.col("x") == F.lit(c)))
+            )
+        ).first()
+        left = {}
+        for r, b in brackets.items():
+            k, (low, high, before, _) = order.index(b), b
+            upto, end = before, before + b[3]
+            for i, c in enumerate(cuts[b]):
+                below, at = before + counts[f"below_{k}_{i}"], counts[f"at_{k}_{i}"]
+                if r <= below:
+                    high, end = c, below
+                    break
+                if r <= below + at:
+                    found[r] = c
+                    break
+                low, upto = c, below + at
+            if r not in found:
+                left[r] = (low, high, upto, end - upto)
+        brackets = left
+    return found
+
+
 def exact_percentiles(df: DataFrame, value: str, percents: Sequence[float]) -> DataFrame:
-    """Percentiles with linear interpolation between the two nearest ranks, one row each."""
-    ranked = with_global_rank(df.where(F.col(value).isNotNull()).select(value), [F.col(value)])
-    n = ranked.count()
-    places = []
-    for p in percents:
-        pos = (n - 1) * (p / 100.0)
-        lo = math.floor(pos)
-        places += [(float(p), lo + 1, float(pos - lo), 0), (float(p), lo + 2, float(pos - lo), 1)]
-    spark = df.sparkSession
-    wanted = spark.createDataFrame(places, "percent double, rank long, frac double, upper int")
-    found = ranked.join(F.broadcast(wanted), "rank")  # two rows per requested percentile
-    lo = F.max(F.when(F.col("upper") == 0, F.col(value)))
-    hi = F.coalesce(F.max(F.when(F.col("upper") == 1, F.col(value))), lo)
-    return found.groupBy("percent", "frac").agg(
-        (lo + (hi - lo) * F.col("frac")).alias("value")
-    ).select("percent", "value")
+    """Percentiles with linear interpolation between the two nearest ranks, one row each; none of an empty table."""
+    given = df.where(F.col(value).isNotNull())
+    n = given.count()
+    rows = []
+    if n:
+        places = {p: (n - 1) * (p / 100.0) for p in percents}
+        lows = {p: math.floor(at) for p, at in places.items()}
+        at = values_at_ranks(given, value, [min(n, low + k) for low in lows.values() for k in (1, 2)])
+        for p, place in places.items():
+            low, high = at[lows[p] + 1], at[min(n, lows[p] + 2)]
+            rows.append((float(p), low + (high - low) * (place - lows[p])))
+    return df.sparkSession.createDataFrame(rows, "percent double, value double")
 
 
 # --- distinct scores ----------------------------------------------------------------------------
@@ -134,14 +205,11 @@ def score_curve(scored: DataFrame, segment: Sequence[str] = ()) -> DataFrame:
             F.count(F.lit(1)).alias("n"), F.sum(label).alias("pos")
         )
     )
-    # pieces of about a million scores, as many as there are shuffle partitions at least
-    parts = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = value_cuts(grouped, "score", min(8192, max(128, parts, grouped.count() // 1_000_000)))
     return running(
-        cuts.add_piece(grouped),
+        in_range_pieces(grouped, F.col("score").desc()),
         segment,
         [F.col("score").desc()],
-        cuts,
+        RangePieces(),
         sums={"n_at": F.col("n"), "pos_at": F.col("pos")},
     ).drop(PIECE)
 

@@ -130,3 +130,39 @@ def test_report_and_confusion(spark):
 def test_histogram_keeps_a_score_of_one(spark):
     df = scored(spark, [(1.0, 1), (0.95, 0), (0.0, 0)])
     assert as_set(R.score_histogram(df), "bucket", "n") == [(0, 1), (9, 2)]
+
+
+@pytest.mark.parametrize("sketch", [10_000, 100])
+def test_percentiles_by_narrowing(spark, monkeypatch, sketch):
+    """Ties of a third of the rows, infinities, negative values; several rounds where the sketch is coarse."""
+    monkeypatch.setattr(R, "SKETCH", sketch)
+    rnd = random.Random(3)
+    values = [rnd.choice([rnd.gauss(0, 1e6), 5.0, float(rnd.randrange(20))]) for _ in range(4000)]
+    values += [float("-inf"), float("inf"), -0.5, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    ordered = sorted(v for v in values if v is not None)
+    ranks = [1, 2, 17, len(ordered) // 3, len(ordered) // 2, len(ordered) - 1, len(ordered)]
+    assert R.values_at_ranks(df.where("v IS NOT NULL"), "v", ranks) == {r: ordered[r - 1] for r in ranks}
+    assert R.exact_percentiles(df.where("false"), "v", [50]).collect() == []
+
+
+def test_percentiles_move_no_rows(spark):
+    """Only aggregates of whole partitions are exchanged."""
+    df = spark.createDataFrame([(float(v % 7),) for v in range(100)], "v double")
+    assert R.exact_percentiles(df, "v", [50]).first()["value"] == 3.0
+    curve = R.score_curve(scored(spark, [(v / 10, v % 2) for v in range(10)]))
+    assert "THEN" not in curve._jdf.queryExecution().analyzed().toString()
+
+
+def test_many_distinct_scores(spark):
+    """Areas over pieces of a few scores equal those of one sorted pass."""
+    rnd = random.Random(4)
+    rows = [(rnd.choice([rnd.random(), 0.5]), int(rnd.random() < 0.2)) for _ in range(3000)]
+    got = R.area_metrics(scored(spark, rows)).first()
+    up = sorted(rows, reverse=True)
+    total, hits, seen, ap, at = sum(y for _, y in rows), 0, 0, 0.0, 0
+    while at < len(up):
+        tied = [y for s, y in up[at:] if s == up[at][0]]
+        hits, seen, at = hits + sum(tied), seen + len(tied), at + len(tied)
+        ap += sum(tied) / total * hits / seen
+    assert got["pr_auc"] == pytest.approx(ap, abs=1e-9)
