@@ -27,7 +27,12 @@ def _load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = with_micros(_load(spark, sf_dir, "events"), "ts")
+    return clicks_of(_load(spark, sf_dir, "events"))
+
+
+def clicks_of(events: DataFrame) -> DataFrame:
+    """The clickstream of event rows, stored or live."""
+    raw = with_micros(events, "ts")
     mapping = F.create_map(*[F.lit(x) for pair in EVENT_TYPE_MAP.items() for x in pair])
     return raw.select(
         "event_id",
