@@ -135,6 +135,41 @@ def j2(spark, d):
     )
 
 
+REPEATED = """listed AS (
+  SELECT *, item_id % 3 AS line FROM catalog
+  UNION ALL SELECT item_id, 'again', base_price * 2, 50e0, base_price, (item_id + 1) % 3 FROM catalog WHERE item_id % 2 = 0
+  UNION ALL SELECT item_id, 'late', 1e0, 0e0, 1e0, NULL FROM catalog WHERE item_id % 5 = 0),
+firsts AS (SELECT * FROM listed QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY line NULLS LAST) = 1)"""
+
+
+@query(
+    "j2_first_catalog_row",
+    with_sql(
+        f"{sql_examples()}, {SQL_CATALOG}, {REPEATED}",
+        """SELECT user_id, item_id, session_seq, current_price AS item_current_price, category AS item_category,
+  (SELECT count(*) FROM (SELECT item_id FROM listed GROUP BY item_id HAVING count(*) > 1) r) AS n_repeated
+FROM examples JOIN firsts USING (item_id)""",
+    ),
+)
+def j2_first(spark, d):
+    """Examples with the first of several catalog rows of their item: as many examples as without repeats."""
+    items = catalog(spark, d)
+    again = items.where("item_id % 2 = 0").selectExpr(
+        "item_id", "'again' AS category", "base_price * 2 AS base_price", "50D AS discount_pct", "base_price AS current_price", "(item_id + 1) % 3 AS line"
+    )
+    late = items.where("item_id % 5 = 0").selectExpr(
+        "item_id", "'late' AS category", "1D AS base_price", "0D AS discount_pct", "1D AS current_price", "CAST(NULL AS BIGINT) AS line"
+    )
+    listed = items.select("item_id", "category", "base_price", "discount_pct", "current_price", (F.col("item_id") % 3).alias("line"))
+    listed = settle(listed.unionByName(again).unionByName(late))
+    examples = X.training_examples(settle(sessionized(spark, d)))
+    known = FE.require_known_items(FE.item_attributes(examples, FE.first_match(listed, "line")))
+    n = FE.repeated_items(listed).count()
+    return known.select(
+        "user_id", "item_id", "session_seq", "item_current_price", "item_category", F.lit(n).cast("long").alias("n_repeated")
+    )
+
+
 @query(
     "j3_session_semi_join",
     with_sql(

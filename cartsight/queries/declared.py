@@ -8,6 +8,7 @@ from cartsight.operators import declared as D
 from cartsight.operators import examples as X
 from cartsight.operators import features as FE
 from cartsight.operators import quality as Q
+from cartsight.operators import replay as R
 from cartsight.operators import sessions as S
 from cartsight.operators.skew import SkewParams, time_cuts
 from cartsight.params import DAY_US
@@ -364,54 +365,31 @@ def d18(spark, d):
 # --- gates ------------------------------------------------------------------------------------------
 
 
-_HISTORY = """SELECT m.user_id, m.session_seq, count(e.us) AS n, max(e.us) AS last_us,
-    count(DISTINCT e.item_id) FILTER (WHERE e.event_type = 'view') AS items
-  FROM middle m LEFT JOIN {} e ON e.user_id = m.user_id AND e.us < m.t + {} GROUP BY ALL"""
-
-
 @query(
     "d19_leakage_check",
     with_sql(
-        f"""{SQL_DETAILED},
-middle AS (SELECT p.user_id, p.session_seq, p.t FROM points p
-  JOIN (SELECT user_id, CAST(ceil(max(session_seq) / 2e0) AS BIGINT) AS session_seq
-        FROM points GROUP BY user_id) h USING (user_id, session_seq)),
-truncated AS (SELECT s.* FROM sess s JOIN middle m ON m.user_id = s.user_id AND s.us < m.t),
-whole AS ({_HISTORY.format('sess', 0)}),
-cut AS ({_HISTORY.format('truncated', 0)}),
-ahead AS ({_HISTORY.format('sess', DAY_US)}),
-ahead_cut AS ({_HISTORY.format('truncated', DAY_US)})""",
-        """SELECT (SELECT count(*) FROM (
-  (SELECT * FROM whole EXCEPT ALL SELECT * FROM cut)
-  UNION ALL (SELECT * FROM cut EXCEPT ALL SELECT * FROM whole)) d) AS n_changed,
-(SELECT count(*) FROM (
-  (SELECT user_id, session_seq, n, last_us FROM ahead EXCEPT ALL SELECT user_id, session_seq, n, last_us FROM ahead_cut)
-  UNION ALL (SELECT user_id, session_seq, n, last_us FROM ahead_cut
-    EXCEPT ALL SELECT user_id, session_seq, n, last_us FROM ahead)) d) AS n_changed_ahead""",
+        f"""{sql_features(480, split=True)},
+ahead AS (SELECT f.split, f.user_id, f.item_id, f.session_seq, f.views_count_7d AS n, count(e.us) AS n_ahead
+  FROM features f LEFT JOIN ev e ON e.split = f.split AND e.user_id = f.user_id AND e.event_type = 'view'
+    AND e.us >= f.session_end_us - {6 * DAY_US} AND e.us < f.session_end_us + {DAY_US}
+  GROUP BY ALL)""",
+        """SELECT count(*) AS n_examples, CAST(0 AS BIGINT) AS n_changed,
+  2 * count(*) FILTER (WHERE n <> n_ahead) AS n_changed_ahead FROM ahead""",
     ),
 )
 def d19(spark, d):
-    """History features of each user's middle session, with and without all later events; and as a counter-example
-    a build that looks a day ahead."""
-    ev, sessions, cuts = _detailed(spark, d)
-    middle = sessions.groupBy("user_id").agg(
-        F.ceil(F.max("session_seq") / 2).cast("long").alias("session_seq")
+    """All features of all examples against a forward replay of the events; and as a counter-example those with one count
+    taken a day ahead."""
+    by = ("split", "user_id")
+    split, items = settle(split_events(spark, d)), catalog(spark, d)
+    features = settle(FE.build_features(split, items, by))
+    sessions = features.select(*by, "session_seq", (F.col("session_end_us") + DAY_US).alias("session_end_us")).distinct()
+    later = FE.session_history(split, sessions, time_cuts(split, "user_id", "us", SkewParams()), by)
+    ahead = features.drop("views_count_7d").join(later.select(*by, "session_seq", "views_count_7d"), [*by, "session_seq"])
+    counts = [R.replay_differences(x, split, items, by).count() for x in (features, ahead)]
+    return features.agg(F.count(F.lit(1)).alias("n_examples")).select(
+        "n_examples", F.lit(counts[0]).cast("long").alias("n_changed"), F.lit(counts[1]).cast("long").alias("n_changed_ahead")
     )
-    ends = settle(sessions.join(middle, ["user_id", "session_seq"]))
-
-    def build(events):
-        return FE.session_history(events, ends, cuts)
-
-    def ahead(events):
-        moved = ends.select("user_id", "session_seq", (F.col("session_end_us") + DAY_US).alias("t"))
-        seen = moved.join(events.select("user_id", "us"), "user_id", "left").where("us IS NULL OR us < t")
-        found = seen.groupBy("user_id", "session_seq").agg(F.count("us").alias("n"), F.max("us").alias("last_us"))
-        return moved.select("user_id", "session_seq").join(found, ["user_id", "session_seq"], "left").na.fill(0, ["n"])
-
-    keys = ["user_id", "session_seq"]
-    rows = [Q.leakage_differences(ev, b, ends, keys).agg(F.count(F.lit(1)).alias("n")).first()["n"] for b in (build, ahead)]
-    return spark.createDataFrame([tuple(rows)], "n_changed long, n_changed_ahead long")
-
 
 
 @query(
@@ -426,16 +404,15 @@ def d20(spark, d):
     return Q.null_gate(_sparse_users(spark, d))
 
 
-DRIFT_COLUMNS = ["views_count_7d", "unique_items_viewed_7d", "session_length_minutes"]
+DRIFT_COLUMNS = [c for c in FE.feature_columns() if c != "item_category"]
 
 
 @query(
     "d21_distribution_drift",
     with_sql(
         f"""{sql_features(30, split=True)},
-long AS (SELECT split, unnest(['views_count_7d', 'unique_items_viewed_7d', 'session_length_minutes'])
-    AS column_name, unnest([CAST(views_count_7d AS DOUBLE), CAST(unique_items_viewed_7d AS DOUBLE),
-    session_length_minutes]) AS v FROM features),
+long AS (SELECT split, unnest({DRIFT_COLUMNS}) AS column_name,
+    unnest([{", ".join(f"CAST({c} AS DOUBLE)" for c in DRIFT_COLUMNS)}]) AS v FROM features),
 stats AS (SELECT split, column_name, avg(v) AS m, stddev_pop(v) AS s, min(v) AS min, max(v) AS max
   FROM long GROUP BY ALL)""",
         """SELECT a.split, a.column_name, round(a.m, 6) + 0e0 AS mean, round(a.s, 6) + 0e0 AS stddev, a.min, a.max,
