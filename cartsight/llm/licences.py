@@ -254,7 +254,9 @@ class Scanner:
         plain_frames = zstandard.ZstdCompressionParameters.from_level(
             p.level, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0
         )
-        self.alone = zstandard.ZstdCompressor(compression_params=plain_frames)
+        # without a template the coder gets a dictionary too, of nothing that texts have: with one it codes short blocks otherwise
+        empty = zstandard.ZstdCompressionDict(b"\0" * 64, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        self.alone = zstandard.ZstdCompressor(compression_params=plain_frames, dict_data=empty)
         self.templates = []
         self.around = p.around
         for name, kind, text in templates:
