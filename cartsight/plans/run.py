@@ -18,7 +18,7 @@ from cartsight.operators.sessions import sessions_by_gap
 from cartsight.operators.split import SplitEnds, assert_no_leakage, ends_of, temporal_split
 from cartsight.params import Params
 from cartsight.plans import training
-from cartsight.sources.tables import read_table, settle, write_table
+from cartsight.sources.tables import read_table, run_folder, settle, write_table
 
 SPLIT_KEYS = ("split", "user_id")
 
@@ -100,10 +100,23 @@ def run(
     train: bool = True,
     ends: SplitEnds | None = None,
 ) -> RunResult:
-    """Events and catalog to sessions, split, features and, on request, models and metrics."""
-    sessions = sessionize_stage(events, params, out_dir)
-    split = split_stage(sessions, params, out_dir, ends)
-    result = RunResult(sessions, split, feature_stage(split, catalog, params, out_dir))
-    if train:
-        result.models, result.metrics = train_stage(result.features, params, out_dir)
+    """Events and catalog to sessions, split, features and, on request, models and metrics.
+
+    With an output folder the intermediate tables go to a folder of the run's own, which is removed at the end.
+    """
+
+    def stages() -> RunResult:
+        sessions = sessionize_stage(events, params, out_dir)
+        split = split_stage(sessions, params, out_dir, ends)
+        result = RunResult(sessions, split, feature_stage(split, catalog, params, out_dir))
+        if train:
+            result.models, result.metrics = train_stage(result.features, params, out_dir)
+        return result
+
+    if out_dir is None:
+        return stages()
+    with run_folder(spark):
+        result = stages()
+        if result.metrics is not None:
+            result.metrics = _stored(result.metrics, out_dir, "metrics")
     return result
