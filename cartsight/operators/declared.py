@@ -262,7 +262,11 @@ def item_counts(train: DataFrame) -> DataFrame:
 
 def item_popularity(train: DataFrame) -> DataFrame:
     """Percent rank of each item by train views."""
-    counts = settle(item_counts(train).select("item_id", "n_views"))
+    return popularity_of(settle(item_counts(train).select("item_id", "n_views")))
+
+
+def popularity_of(counts: DataFrame) -> DataFrame:
+    """Percent rank by ``n_views`` of stored rows, one per item."""
     levels = counts.groupBy("n_views").agg(F.count(F.lit(1)).alias("n"))
     cuts = value_cuts(levels, "n_views", descending=False)
     below = running(
@@ -316,7 +320,11 @@ def item_cart_abandonment(train: DataFrame) -> DataFrame:
 
 def category_conversion(train: DataFrame, catalog: DataFrame) -> DataFrame:
     """Mean conversion rate of a category's items."""
-    rates = item_conversion(train)
+    return category_means(item_conversion(train), catalog)
+
+
+def category_means(rates: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Mean of the items' ``item_conversion_rate`` per category."""
     with_cat = join_lookup(rates, catalog.select("item_id", "category"), "item_id", "inner")
     fixed = F.floor(F.col("item_conversion_rate") * F.lit(float(FIXED_POINT))).cast("decimal(28,0)")
     n = F.count(F.lit(1)).cast("double") * F.lit(float(FIXED_POINT))
@@ -325,19 +333,55 @@ def category_conversion(train: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
+def pair_counts(train: DataFrame) -> DataFrame:
+    """What a user did with an item: views, purchases, cart adds and the first view."""
+    kind = F.col("event_type")
+    return train.groupBy("user_id", "item_id").agg(
+        F.count_if(kind == VIEW).alias("n_views"),
+        F.count_if(kind == PURCHASE).alias("n_purchases"),
+        F.count_if(kind == ADD_TO_CART).alias("n_carts"),
+        F.min(F.when(kind == VIEW, F.col("us"))).alias("first_view"),
+    )
+
+
 def train_item_table(train: DataFrame, catalog: DataFrame) -> DataFrame:
-    """All train-only aggregates, one row per item known from train or the catalog."""
-    items = item_popularity(train)
-    for table in (
-        item_conversion(train),
-        item_time_to_purchase(train),
-        item_cart_abandonment(train),
-    ):
-        items = items.join(table, "item_id", "left")  # both sides unique on item_id
+    """All train-only aggregates, one row per item known from train or the catalog.
+
+    Train is read twice: for one row per user and item, which all counts come from, and for the purchases, which meet the
+    first view of their user and item.
+    """
+    pairs = settle(pair_counts(train))
+    buys = train.where(F.col("event_type") == PURCHASE).select("user_id", "item_id", "us")
+    viewed = pairs.where("first_view IS NOT NULL AND n_purchases > 0").select("user_id", "item_id", "first_view")
+    waits = (
+        buys.join(viewed, ["user_id", "item_id"])
+        .where("us > first_view")
+        .groupBy("user_id", "item_id")
+        .agg(F.min(F.col("us") - F.col("first_view")).alias("wait_us"))
+        .groupBy("item_id")
+        .agg(F.sum("wait_us").cast("double").alias("_wait"), F.count(F.lit(1)).cast("double").alias("_waits"))
+    )
+    carted = F.col("n_carts") > 0
+    counts = pairs.groupBy("item_id").agg(
+        F.sum("n_views").alias("n_views"),
+        F.sum("n_purchases").alias("n_purchases"),
+        F.count_if(carted).alias("_carted"),
+        F.count_if(carted & (F.col("n_purchases") == 0)).alias("_left"),
+    )
+    items = settle(
+        counts.join(waits, "item_id", "left").select(  # both sides unique on item_id
+            "item_id",
+            "n_views",
+            guarded_ratio(F.col("n_purchases"), F.col("n_views")).alias("item_conversion_rate"),
+            F.try_divide("_wait", F.col("_waits") * F.lit(float(DAY_US))).alias("item_avg_time_to_purchase"),
+            F.when(F.col("_carted") > 0, guarded_ratio(F.col("_left"), F.col("_carted"))).alias("item_cart_abandonment_rate"),
+        )
+    )
+    ranked = items.join(popularity_of(items.select("item_id", "n_views")), "item_id", "left").drop("n_views")
     by_category = join_lookup(
-        catalog.select("item_id", "category"), category_conversion(train, catalog), "category", computed=True
+        catalog.select("item_id", "category"), category_means(items.select("item_id", "item_conversion_rate"), catalog), "category", computed=True
     )
-    return items.join(by_category.drop("category"), "item_id", "full")
+    return ranked.join(by_category.drop("category"), "item_id", "full")
 
 
 def with_train_aggregates(df: DataFrame, train: DataFrame, catalog: DataFrame) -> DataFrame:
