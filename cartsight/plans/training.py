@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import itertools
 import math
-import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from functools import reduce
 
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassificationModel,
@@ -24,16 +26,17 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartsight.operators.features import feature_columns
 from cartsight.operators.ranking import area_metrics, precision_at
 from cartsight.operators.ranking import best_threshold as find_threshold
 from cartsight.params import ID_COLUMNS, LABEL, ModelParams, ScoreParams
-from cartsight.sources.tables import settle
+from cartsight.sources.tables import new_folder, settle
 
 CATEGORY = "item_category"
+ROWS_PER_TASK = 50_000  # rows of a partition while trees are grown
 WEIGHT = "_weight"
 
 
@@ -162,42 +165,80 @@ def rounds_with_patience(losses: Sequence[float], patience: int) -> int:
     return max(at, 1)
 
 
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The booster after its first rounds: their trees and weights as they were fitted."""
+    if rounds >= model.getNumTrees:
+        return model
+    sc, java = SparkContext._active_spark_context, model._java_obj
+    of = sc._jvm.org.apache.spark.ml
+    trees = sc._gateway.new_array(of.regression.DecisionTreeRegressionModel, rounds)
+    weights = sc._gateway.new_array(sc._jvm.double, rounds)
+    all_trees, all_weights = java.trees(), java.treeWeights()
+    for i in range(rounds):
+        trees[i], weights[i] = all_trees[i], all_weights[i]
+    shorter = of.classification.GBTClassificationModel(java.uid(), trees, weights, java.numFeatures(), java.numClasses())
+    return model._copyValues(GBTClassificationModel(shorter))
+
+
+def _booster(params: ModelParams) -> GBTClassifier:
+    return GBTClassifier(
+        featuresCol="features",
+        labelCol=LABEL,
+        weightCol=WEIGHT,
+        maxDepth=params.max_depth,
+        stepSize=params.step_size,
+        maxIter=params.rounds,
+        subsamplingRate=params.subsample,
+        featureSubsetStrategy=str(params.feature_share),
+        minInfoGain=0.0,
+        seed=params.seed,
+    )
+
+
+def _class_weight(params: ModelParams) -> Column:
+    return F.when(F.col(LABEL) == 1, params.pos_weight).otherwise(1.0)
+
+
+def _gathered(rows: DataFrame, n: int) -> DataFrame:
+    """Stored rows in as many partitions as have work: each round of a booster is several jobs over all of them."""
+    return rows.coalesce(max(1, -(-n // ROWS_PER_TASK)))
+
+
+def _grown(rows: DataFrame, judged: DataFrame, params: ModelParams) -> tuple[GBTClassificationModel, list[float]]:
+    """A booster and its loss on other rows after each round, grown until ``patience`` has ended or all rounds are fitted.
+
+    A quarter more than the patience is fitted first: a model that overfits from the start costs no more. Otherwise all
+    rounds are fitted.
+    A round depends on the seed and those before it alone, so the first trees of a longer fit are those of a shorter one.
+    """
+    first = min(params.rounds, params.patience + max(1, params.patience // 4))
+    for rounds in (first, params.rounds):
+        model = _booster(replace(params, rounds=rounds)).fit(rows)
+        losses = list(model.evaluateEachIteration(judged))
+        if rounds == params.rounds or len(losses) - rounds_with_patience(losses, params.patience) >= params.patience:
+            break
+    return model, losses
+
+
 def fit_boosted(
     train: DataFrame, val: DataFrame | None = None, params: ModelParams = ModelParams()
 ) -> PipelineModel:
     """Gradient-boosted trees with a positive-class weight.
 
-    All rounds are fitted on train. With a validation split, its weighted loss is taken after each round, and the
-    trees up to the best round are kept (found with ``patience``; rounds are deterministic, so a second
-    fit of that many gives the same trees). Splits need no minimal gain: Spark's is a mean per row, for which the
-    declared gamma, a sum over rows, has no equal.
+    Rounds are fitted on train. With a validation split, its weighted loss is taken after each round, and the
+    trees up to the best round are kept (found with ``patience``). Splits need no minimal gain: Spark's is a mean per row,
+    for which the declared gamma, a sum over rows, has no equal.
     """
     train = zero_missing(train)
-    prepared = Pipeline(stages=preparation(train.count())).fit(train)
-    weight = F.when(F.col(LABEL) == 1, params.pos_weight).otherwise(1.0)
-    columns = (LABEL, WEIGHT, "features")
-    rows = settle(prepared.transform(train.withColumn(WEIGHT, weight)).select(*columns))
-
-    def fitted(rounds: int) -> GBTClassificationModel:
-        return GBTClassifier(
-            featuresCol="features",
-            labelCol=LABEL,
-            weightCol=WEIGHT,
-            maxDepth=params.max_depth,
-            stepSize=params.step_size,
-            maxIter=rounds,
-            subsamplingRate=params.subsample,
-            featureSubsetStrategy=str(params.feature_share),
-            minInfoGain=0.0,
-            seed=params.seed,
-        ).fit(rows)
-
-    booster = fitted(params.rounds)
-    if val is not None:
-        judged = settle(prepared.transform(zero_missing(val).withColumn(WEIGHT, weight)).select(*columns))
-        keep = rounds_with_patience(booster.evaluateEachIteration(judged), params.patience)
-        if keep < params.rounds:
-            booster = fitted(keep)
+    n = train.count()
+    prepared = Pipeline(stages=preparation(n)).fit(train)
+    columns = (LABEL, _class_weight(params).alias(WEIGHT), "features")
+    rows = _gathered(settle(prepared.transform(train).select(*columns)), n)
+    if val is None:
+        booster = _booster(params).fit(rows)
+    else:
+        booster, losses = _grown(rows, settle(prepared.transform(zero_missing(val)).select(*columns)), params)
+        booster = first_rounds(booster, rounds_with_patience(losses, params.patience))
     return PipelineModel(stages=[*prepared.stages, booster])
 
 
@@ -257,21 +298,78 @@ def evaluate(scored: DataFrame, name: str, params: ScoreParams = ScoreParams())
     return areas.unionByName(per_top).select(F.lit(name).alias("model"), "metric", "value")
 
 
-def tune(
-    train: DataFrame, val: DataFrame, params: ModelParams = ModelParams()
-) -> tuple[ModelParams, float]:
-    """Every grid point fitted on train and judged by average precision on the temporal val split."""
-    best, best_ap = params, -1.0
-    grid = itertools.product(
-        params.grid_max_depth, params.grid_step_size, params.grid_rounds, params.grid_pos_weight
-    )
-    for depth, step, rounds, weight in grid:
-        tried = replace(params, max_depth=depth, step_size=step, rounds=rounds, pos_weight=weight)
-        scored = settle(predict(fit_boosted(train, None, tried), val).select(LABEL, "score"))
-        ap = area_metrics(scored).first()["pr_auc"]
-        if ap > best_ap:
-            best, best_ap = tried, ap
-    return best, best_ap
+GRID_POINT = ("max_depth", "step_size", "rounds", "pos_weight")
+
+
+def bounded_rows(train: DataFrame, most: int, seed: int, keys: Sequence[str] = ("user_id", "item_id", "session_seq")) -> DataFrame:
+    """About ``most`` labelled rows, or all if there are no more: all positives that fit, and negatives by a hash of their keys."""
+    counts = class_counts(train)
+    total, pos = sum(counts.values()), counts.get(1, 0)
+    if total <= most:
+        return train
+    share = {1: min(1.0, most / max(pos, 1)), 0: max(0, most - pos) / max(total - pos, 1)}
+    text = F.concat_ws(":", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys))
+    place = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+    return train.where(place < F.when(F.col(LABEL) == 1, share[1]).otherwise(share[0]))
+
+
+def grid_scores(train: DataFrame, val: DataFrame, params: ModelParams = ModelParams()) -> tuple[DataFrame, DataFrame]:
+    """All grid points on the temporal val split.
+
+    Gives a row for each point (its parameters and ``n_trees``, the trees kept with patience) and the val rows scored by each
+    model: model, label, score. A model is named by depth, step, weight and ``n_trees``; points that keep the same
+    trees share it.
+
+    The models of fewer rounds are the first trees of one with more, so one booster (see ``_grown``) answers for every number
+    of rounds. Boosters grow side by side over one prepared, stored table of at most ``grid_rows`` labelled rows; val is
+    judged whole.
+    """
+    train = bounded_rows(zero_missing(train), params.grid_rows, params.seed)
+    n = train.count()
+    prepared = Pipeline(stages=preparation(n)).fit(train)
+    rows = settle(prepared.transform(train).select(LABEL, "features"))
+    judged = settle(prepared.transform(zero_missing(val)).select(LABEL, "features"))
+    spark = rows.sparkSession
+
+    def one(depth: int, step: float, weight: float) -> tuple[list[tuple], DataFrame]:
+        point = replace(params, max_depth=depth, step_size=step, pos_weight=weight, rounds=max(params.grid_rounds))
+        weighted = [_gathered(x.withColumn(WEIGHT, _class_weight(point)), n) for x in (rows, judged)]
+        model, losses = _grown(*weighted, point)
+        found, scored = [], None
+        for wanted in sorted(params.grid_rounds):
+            kept = rounds_with_patience(losses[:wanted], params.patience)
+            found.append((depth, step, wanted, weight, kept))
+        for kept in sorted({f[-1] for f in found}):
+            out = first_rounds(model, kept).transform(judged)
+            name = F.concat_ws("/", *(F.lit(str(x)) for x in (depth, step, weight, kept)))
+            part = out.select(name.alias("model"), LABEL, vector_to_array("probability")[1].alias("score"))
+            scored = part if scored is None else scored.unionByName(part)
+        return found, settle(scored)
+
+    fits = list(itertools.product(params.grid_max_depth, params.grid_step_size, params.grid_pos_weight))
+    with ThreadPoolExecutor(params.grid_parallel) as pool:
+        done = list(pool.map(inheritable_thread_target(spark)(lambda fit: one(*fit)), fits))
+    points = [p for found, _ in done for p in found]
+    table = spark.createDataFrame(points, "max_depth int, step_size double, rounds int, pos_weight double, n_trees int")
+    name = F.concat_ws("/", *(F.col(c).cast("string") for c in ("max_depth", "step_size", "pos_weight", "n_trees")))
+    return table.withColumn("model", name), reduce(DataFrame.unionByName, (scored for _, scored in done))
+
+
+def tune(train: DataFrame, val: DataFrame, params: ModelParams = ModelParams()) -> DataFrame:
+    """A row for each grid point with ``n_trees``, ``pr_auc`` on val, and whether it is the best: the highest average precision,
+    of equal ones the first in the order of the parameters."""
+    points, scored = grid_scores(train, val, params)
+    areas = area_metrics(scored, ("model",)).select("model", "pr_auc")
+    found = settle(points.join(areas, "model", "left").na.fill(0.0, ["pr_auc"]).drop("model"))
+    best = found.orderBy(F.desc("pr_auc"), *GRID_POINT).first()
+    same = [F.col(c) == F.lit(best[c]) for c in GRID_POINT]
+    return found.withColumn("is_best", reduce(Column.__and__, same))
+
+
+def best_point(tuned: DataFrame, params: ModelParams = ModelParams()) -> ModelParams:
+    """The parameters of the best grid point."""
+    best = tuned.where("is_best").first()
+    return replace(params, **{c: best[c] for c in GRID_POINT})
 
 
 def tuned_threshold(scored: DataFrame, params: ScoreParams = ScoreParams()) -> float:
@@ -286,18 +384,40 @@ def feature_names(model: PipelineModel) -> list[str]:
     return [*numeric_columns(), *[f"{CATEGORY}={c}" for c in labels]]
 
 
+def tree_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """The nodes of a stored ensemble's trees: tree, node, feature (null for a leaf), threshold, gain, rows and weight."""
+    node = F.col("nodeData")
+    inner = node["leftChild"] >= 0
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"),
+        node["id"].alias("node"),
+        F.when(inner, node["split"]["featureIndex"]).alias("feature"),
+        F.when(inner, F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0))).alias("threshold"),
+        F.when(inner, node["gain"]).alias("gain"),
+        node["rawCount"].alias("n_rows"),
+        F.get(node["impurityStats"], F.lit(0)).alias("weight"),
+    )
+
+
 def feature_importance(model: PipelineModel, train: DataFrame) -> DataFrame:
-    """Gain-based importance and number of splits per feature of a tree ensemble."""
-    trees = model.stages[-1]
-    gains = trees.featureImportances.toArray()
-    splits = [0] * len(gains)
-    for tree in trees.trees:
-        for index in re.findall(r"If \(feature (\d+) ", tree.toDebugString):
-            splits[int(index)] += 1
-    rows = [
-        (name, float(gains[i]), splits[i]) for i, name in enumerate(feature_names(model))
-    ]
-    return train.sparkSession.createDataFrame(rows, "feature string, importance double, n_splits long")
+    """Number of splits and share of the gain (gain times weight of the rows, over all nodes) of each input of boosted trees.
+
+    The model's trees are stored, and their nodes aggregated as a table.
+    """
+    spark = train.sparkSession
+    path = new_folder(spark, "trees")
+    model.stages[-1].write().save(path)
+    splits = tree_nodes(spark, path).where("feature IS NOT NULL")
+    sums = splits.groupBy(F.col("feature").alias("_slot")).agg(
+        F.sum(F.col("gain") * F.col("weight")).alias("_gain"), F.count(F.lit(1)).alias("n_splits")
+    )
+    total = sums.agg(F.sum("_gain")).first()[0] or 1.0
+    slots = spark.createDataFrame(list(enumerate(feature_names(model))), "_slot int, feature string")
+    return slots.join(F.broadcast(sums), "_slot", "left").select(  # a row for each input at most
+        "feature",
+        F.coalesce(F.col("_gain") / F.lit(total), F.lit(0.0)).alias("importance"),
+        F.coalesce("n_splits", F.lit(0)).cast("long").alias("n_splits"),
+    )
 
 
 def top_features(importance: DataFrame, n: int = 10) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from cartsight.functions.columns import confidence_band, decide
@@ -11,7 +9,6 @@ from cartsight.operators import features as FE
 from cartsight.operators import ranking as R
 from cartsight.operators import scoring as K
 from cartsight.operators.skew import join_lookup
-from cartsight.params import ModelParams
 from cartsight.plans import training as M
 from cartsight.queries.base import (
     SQL_CATALOG,
@@ -30,6 +27,7 @@ from cartsight.queries.base import (
 )
 from cartsight.queries.core import sql_features
 from cartsight.queries.tables import TOP_SQL
+from cartsight.sources import fixtures
 from cartsight.sources.tables import settle, with_micros
 from cartsight.streaming import online as T
 
@@ -463,12 +461,6 @@ def k6(spark, d):
 
 # --- Spark ML --------------------------------------------------------------------------------------------
 
-# The grid query tries some of the 256 declared points: a point takes minutes on one machine. ``tune`` tries
-# whatever its parameters list.
-GRID = replace(
-    ModelParams(), grid_max_depth=(4, 6), grid_step_size=(0.1,), grid_rounds=(20,), grid_pos_weight=(5000.0, 10000.0)
-)
-
 SQL_FEATURES = f"""{sql_features(480, split=True)},
 train AS MATERIALIZED (SELECT * FROM features WHERE split = 'train')"""
 NUMERIC = M.numeric_columns()
@@ -608,22 +600,25 @@ def m6(spark, d):
     "m7_parameter_grid",
     with_sql(
         sql_examples(480, split=True),
-        "SELECT count(*) AS n_train, true AS in_grid, true AS is_share FROM examples WHERE split = 'train'",
+        """SELECT max_depth, step_size, rounds, pos_weight, n_val, true AS is_share, true AS keeps_trees, true AS best_is_highest
+FROM (SELECT unnest([4, 6, 8, 10]) AS max_depth) a, (SELECT unnest([0.01e0, 0.05e0, 0.1e0, 0.2e0]) AS step_size) b,
+  (SELECT unnest([100, 200, 300, 500]) AS rounds) c, (SELECT unnest([5000e0, 10000e0, 15000e0, 20000e0]) AS pos_weight) e,
+  (SELECT count(*) AS n_val FROM examples WHERE split = 'val') n""",
     ),
 )
 def m7(spark, d):
-    """The best of the tried points lies in the grid, and its validation score is a share."""
+    """Every declared point: its score on val is a share, it keeps some of its rounds, and the best one is the highest."""
     features = _features(spark, d)
     train, val = _part(features, "train"), _part(features, "val")
-    best, ap = M.tune(train, val, GRID)
-    inside = (
-        best.max_depth in GRID.grid_max_depth
-        and best.step_size in GRID.grid_step_size
-        and best.rounds in GRID.grid_rounds
-        and best.pos_weight in GRID.grid_pos_weight
-    )
-    return train.agg(F.count(F.lit(1)).alias("n_train")).select(
-        "n_train", F.lit(inside).alias("in_grid"), F.lit(0 <= ap <= 1).alias("is_share")
+    tuned = M.tune(train, val)
+    highest = tuned.agg(F.max("pr_auc").alias("high"), F.max(F.when(F.col("is_best"), F.col("pr_auc"))).alias("best"), F.count_if("is_best").alias("n")).first()
+    one_best = highest["n"] == 1 and highest["best"] == highest["high"]
+    return tuned.select(
+        *M.GRID_POINT,
+        F.lit(val.count()).cast("long").alias("n_val"),
+        F.col("pr_auc").between(0.0, 1.0).alias("is_share"),
+        F.col("n_trees").between(1, F.col("rounds")).alias("keeps_trees"),
+        F.lit(one_best).alias("best_is_highest"),
     )
 
 
@@ -680,14 +675,11 @@ def m17(spark, d):
     return rows.select("feature", fine.alias("is_share"), F.lit(abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
-@query("o6_top_features", "SELECT unnest(range(1, 11)) AS place, true AS is_next_best")
+@query("o6_top_features")
 def o6(spark, d):
-    """Ten features, each the best of those that are left."""
+    """The ten inputs that split most nodes of the boosted trees; a fitted model has no SQL (see its test)."""
     rows = _importance(spark, d)
-    top = M.top_features(rows, 10).collect()
-    rest = sorted(rows.collect(), key=lambda r: (-r["n_splits"], -r["importance"], r["feature"]))
-    places = [(k + 1, top[k]["feature"] == rest[k]["feature"]) for k in range(len(top))]
-    return spark.createDataFrame(places, "place long, is_next_best boolean")
+    return settle(M.top_features(rows, 10))
 
 
 @query("s5_s6_model_store", sql_checked("is_probability", "same_as_fitted"))
@@ -734,24 +726,27 @@ METRIC_NAMES = [
     "l4_holdout_evaluation",
     with_sql(
         sql_examples(480, split=True),
-        f"""SELECT split, metric, true AS in_range, CASE metric WHEN 'n_examples' THEN n WHEN 'n_positives' THEN pos END AS exact
+        f"""SELECT model, split, metric, true AS in_range,
+  CASE metric WHEN 'n_examples' THEN n WHEN 'n_positives' THEN pos END AS exact
 FROM (SELECT split, count(*)::DOUBLE AS n, sum(label)::DOUBLE AS pos FROM examples GROUP BY split) e,
+  (SELECT unnest(['logistic', 'boosted']) AS model) b,
   (SELECT unnest({["n_examples", "n_positives", *METRIC_NAMES]}) AS metric) m""",
     ),
 )
 def l4(spark, d):
-    """Metrics of the linear model on every split: counts as they are, the others by their range."""
-    features, model = _linear(spark, d)
+    """Metrics of both models on every split: counts as they are, the others by their range."""
+    features, linear = _linear(spark, d)
+    boosted = M.fit_boosted(_part(features, "train"), _part(features, "val"))
     out = None
-    for name in ("train", "val", "test"):
-        scored = M.predict(model, _part(features, name))
-        rows = M.evaluate(scored, "logistic").withColumn("split", F.lit(name))
-        out = rows if out is None else out.unionByName(rows)
+    for title, model in (("logistic", linear), ("boosted", boosted)):
+        for name in ("train", "val", "test"):
+            rows = M.evaluate(M.predict(model, _part(features, name)), title).withColumn("split", F.lit(name))
+            out = rows if out is None else out.unionByName(rows)
     count = F.col("metric").isin("n_examples", "n_positives")
     wide = F.col("metric").rlike("^(n_|positives_found|lift)")
     # a split without positives (or negatives) has no area, recall or lift
     fine = F.col("value").isNull() | ((F.col("value") >= 0) & (wide | (F.col("value") <= 1)))
-    return out.select("split", "metric", fine.alias("in_range"), F.when(count, F.col("value")).alias("exact"))
+    return out.select("model", "split", "metric", fine.alias("in_range"), F.when(count, F.col("value")).alias("exact"))
 
 
 # --- streaming --------------------------------------------------------------------------------------------
@@ -823,3 +818,60 @@ def t2(spark, d):
     )
     stream = T.session_stream(rows)
     return T.drain(stream, scratch(spark, "stream"), scratch(spark, "state"))
+
+
+SQL_INTENT = f"""{SQL_CLICKS},
+lagged AS (SELECT *, coalesce(lag(event_type IN ('purchase', 'add_to_cart'))
+    OVER (PARTITION BY user_id ORDER BY us, event_id), true) AS starts FROM clickstream),
+numbered AS (SELECT *, CAST(sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER
+    (PARTITION BY user_id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session_seq
+  FROM lagged),
+so_far AS (SELECT user_id, event_id, us, session_seq, min(us) OVER s AS start_us, count(*) OVER s AS n_events,
+    count(*) FILTER (WHERE event_type = 'view') OVER s AS items_viewed,
+    count(*) FILTER (WHERE event_type = 'scroll') OVER s AS items_scrolled,
+    count(*) FILTER (WHERE event_type = 'add_to_cart') OVER s AS items_carted,
+    event_type IN ('purchase', 'add_to_cart') AS closes
+  FROM numbered WINDOW s AS (PARTITION BY user_id, session_seq ORDER BY us, event_id ROWS UNBOUNDED PRECEDING))"""
+# events that the last watermark, one hour behind the newest, has passed
+PASSED = "us < ((SELECT max(us) FROM clickstream) // 1000) * 1000 - 3600000000"
+
+
+def _live_intents(spark, d):
+    stream = T.intent_stream(fixtures.clicks_of(_live(spark, d)))
+    with T.rocksdb_state(spark):
+        return T.drain(stream, scratch(spark, "stream"), scratch(spark, "state"))
+
+
+@query(
+    "s8_replay_safe_sink",
+    with_sql(SQL_CLICKS, "SELECT event_id, user_id, us, event_type FROM clickstream"),
+)
+def s8(spark, d):
+    """Every event is sent twice; the table has it once, and a batch that is written again changes nothing."""
+    live = fixtures.clicks_of(_live(spark, d)).select("event_id", "user_id", "us", "event_type", "timestamp")
+    twice = live.withColumn("_sent", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_sent")
+    out = scratch(spark, "stream")
+    stored = T.replay_safe(twice, out, scratch(spark, "state"), ["event_id"], "timestamp")
+    last = stored.agg(F.max("batch")).first()[0]
+    if last is not None:
+        T.write_batch(out)(settle(stored.where(F.col("batch") == last).drop("batch")), last)
+    return spark.read.parquet(out).select("event_id", "user_id", "us", "event_type")
+
+
+@query("t2_live_session_so_far", with_sql(SQL_INTENT, f"SELECT * FROM so_far WHERE {PASSED}"))
+def t2_so_far(spark, d):
+    """The intent session so far at every event that the watermark has passed."""
+    return _live_intents(spark, d)
+
+
+@query(
+    "t2_live_intent_sessions",
+    with_sql(
+        SQL_INTENT,
+        f"""SELECT user_id, session_seq, start_us, us AS end_us, n_events, items_viewed, items_scrolled, items_carted
+FROM so_far WHERE closes AND {PASSED}""",
+    ),
+)
+def t2_intent(spark, d):
+    """Intent sessions that have closed, from the live events."""
+    return T.intent_sessions(_live_intents(spark, d))

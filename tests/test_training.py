@@ -1,8 +1,10 @@
 import random
+import re
+from collections import Counter
 from dataclasses import replace
 
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -112,12 +114,53 @@ def test_importance_names_the_useful_features(spark, data):
     assert set(top) == {"views_count_7d", "times_viewed_this_item"}
 
 
+def test_importance_counts_the_printed_trees(spark, data):
+    """Splits as the trees print them, and Spark's own importances."""
+    train, _ = data
+    model = M.fit_boosted(train, None, replace(QUICK, rounds=8, pos_weight=2.0))
+    trees, names = model.stages[-1], M.feature_names(model)
+    printed = Counter(int(i) for t in trees.trees for i in re.findall(r"If \(feature (\d+) ", t.toDebugString))
+    got = {r.feature: r for r in M.feature_importance(model, train).collect()}
+    assert {n: got[n].n_splits for n in names} == {n: printed[i] for i, n in enumerate(names)}
+    assert [got[n].importance for n in names] == pytest.approx(list(trees.featureImportances.toArray()))
+    top = M.top_features(M.feature_importance(model, train), 3).collect()
+    assert [r.n_splits for r in top] == sorted(printed.values(), reverse=True)[:3]
+
+
 def test_grid_is_judged_on_validation(spark, data):
     train, val = data
-    grid = replace(QUICK, grid_max_depth=(1, 3), grid_step_size=(0.1,), grid_rounds=(3,),
-                   grid_pos_weight=(5.0,))
-    best, ap = M.tune(train, val, grid)
-    assert best.max_depth == 3 and 0 < ap <= 1
+    grid = replace(QUICK, grid_max_depth=(1, 3), grid_step_size=(0.1,), grid_rounds=(3, 6), grid_pos_weight=(5.0,), patience=2, subsample=1.0, feature_share=1.0)
+    tuned = M.tune(train, val, grid)
+    rows = {(r.max_depth, r.rounds): r for r in tuned.collect()}
+    assert set(rows) == {(d, r) for d in (1, 3) for r in (3, 6)} and sum(r.is_best for r in rows.values()) == 1
+    best = M.best_point(tuned, grid)
+    assert best.max_depth == 3 and rows[best.max_depth, best.rounds].pr_auc == max(r.pr_auc for r in rows.values())
+    # a point is what a fit of its own gives (rows are in another order there, so none are left out)
+    for (depth, rounds), r in rows.items():
+        alone = M.fit_boosted(train, val, replace(grid, max_depth=depth, step_size=0.1, rounds=rounds, pos_weight=5.0))
+        assert alone.stages[-1].getNumTrees == r.n_trees
+        assert area_metrics(M.predict(alone, val)).first()["pr_auc"] == pytest.approx(r.pr_auc)
+
+
+def test_first_rounds_are_those_of_a_shorter_fit(spark, data):
+    train, _ = data
+    params = replace(QUICK, pos_weight=3.0)
+    whole, short = (M.fit_boosted(train, None, replace(params, rounds=n)) for n in (7, 4))
+    cut = PipelineModel(stages=[*whole.stages[:-1], M.first_rounds(whole.stages[-1], 4)])
+    path = new_folder(spark, "model")
+    M.save_model(cut, path)
+    scores = [M.predict(m, train).select("user_id", "score") for m in (short, cut, M.load_model(path))]
+    assert scores[0].exceptAll(scores[1]).count() == 0 and scores[1].exceptAll(scores[2]).count() == 0
+    assert cut.stages[-1].getNumTrees == 4 and M.first_rounds(cut.stages[-1], 9) is cut.stages[-1]
+
+
+def test_grid_rows_are_bounded(spark, data):
+    train, _ = data
+    n, pos = train.count(), train.where("label = 1").count()
+    some = M.bounded_rows(train, 200, 42)
+    assert abs(some.count() - 200) < 60 and some.where("label = 1").count() == pos < 200
+    assert some.exceptAll(M.bounded_rows(train, 200, 42)).count() == 0
+    assert M.bounded_rows(train, n, 42) is train
 
 
 def test_latest_model_is_the_largest_version(spark):
