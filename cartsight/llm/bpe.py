@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from cartsight.llm.registry import query, table
 from cartsight.llm.rows import add_columns
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+VOCABULARY = "byte_bpe_50k.json"  # of the public tokenizers
 # The published split pattern of this vocabulary (fixed value); \s spelled out as Unicode White_Space.
 _WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = (
@@ -187,6 +187,10 @@ def encode_texts(texts: list[str | None], bpe: Bpe) -> list[bytes]:
     out = [b"".join(map(known.__getitem__, tokens)) for tokens in split_up]
     if known is not cache:
         cache.update((w, new[w]) for w in fresh if len(w) <= CACHED_BYTES)
+    else:
+        for w in fresh:
+            if len(w) > CACHED_BYTES:
+                del cache[w]
     if len(cache) > CACHE_ENTRIES:
         cache.clear()
     return out
@@ -202,9 +206,16 @@ def _model(shared) -> Bpe:
     return _WORKER[id(shared.value)]
 
 
-def load(spark: SparkSession, path: str = VOCABULARY):
+def vocabulary_path() -> str:
+    """Where the vocabulary lies on the driver; executors do not need the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+def load(spark: SparkSession, path: str | None = None):
     """The vocabulary file (bounded by its 50,257 entries), read once and sent to the executors."""
-    with open(path, encoding="utf-8") as f:
+    with open(path or vocabulary_path(), encoding="utf-8") as f:
         return spark.sparkContext.broadcast(f.read())
 
 
