@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from cartsight.llm.registry import query, table
 from cartsight.llm.rows import add_columns
+from cartsight.sources.tables import settle
 
 UPPER, DIGITS, SYMBOLS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"#*$%&|<>{}[]=+~^@\\/_"
 BINS = {
@@ -53,6 +54,7 @@ class MachineParams:
     buckets: int = 1 << 16
     factors: int = 8
     train_documents: int = 6000
+    train_entries: int = 20_000_000  # of all training documents together: 160 MB on the driver
     epochs: int = 6
     batch: int = 128
     step: float = 0.1
@@ -196,9 +198,15 @@ def train(docs: DataFrame, labels: DataFrame, p: MachineParams = PARAMS, held_ou
         pieces = [(i4[b - n : b].tobytes(), v4[b - n : b].tobytes()) for b, n in zip(cut, sizes)]
         return [pa.array([a for a, _ in pieces], pa.binary()), pa.array([b for _, b in pieces], pa.binary())]
 
-    # at most train_documents rows are broadcast and come back; a row has at most buckets + N_STATS entries
-    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = add_columns(picked, fields, compute).select("doc_id", "_good", "_idx", "_val").collect()
+    # at most train_documents rows are broadcast and come back (one per id, of rows that repeat it the smallest text), and of
+    # them those that have at most train_entries entries together, in the order of their hashes
+    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_good").agg(F.min("text").alias("text"))
+    made = settle(add_columns(picked, fields, compute).select("doc_id", "_good", "_idx", "_val"))
+    sizes = made.select("doc_id", (F.octet_length("_idx") / 4).cast("long").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    fits = np.cumsum([r["n"] for r in sizes]) <= p.train_entries
+    if not fits.all():
+        made = made.where(F.col("doc_id").isin([r["doc_id"] for r, ok in zip(sizes, fits) if ok]))
+    rows = made.collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["_idx"])))
     idx = [np.frombuffer(r["_idx"], "<i4") for r in rows]
     sizes = np.array([len(i) for i in idx], np.int64)
