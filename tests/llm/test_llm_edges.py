@@ -96,3 +96,27 @@ def test_null_id_sorts_last(spark):
     rows = spark.createDataFrame([(None, "same text"), (7, "same  text")], "doc_id long, text string")
     assert {(r.keep_id, r.kept) for r in trie.exact_groups(rows.withColumn("text", F.trim("text"))).collect()} == {(7, True), (7, False)}
     assert {(r.component_id, r.kept) for r in simhash.near_groups(rows).collect()} == {(7, True), (7, False)}
+
+
+def test_conversations_of_odd_rows(spark):
+    """Null text, role and id, tied and repeated turns, a null turn, a long text, and columns named like results."""
+    long = "x <|im_end|> " * 20_000
+    rows = [
+        (1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "assistant", "z"), (1, 1, "assistant", None), (1, 1, "assistant", None),
+        (2, None, "user", "first"), (2, 0, None, "second"), (3, 0, "assistant", long), (None, 0, "user", "u"), (None, 1, "assistant", "é"),
+    ]
+    given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    given = given.withColumns({c: F.lit("own") for c in ("segment", "loss", "start", "n_turns", "rewrites")}).repartition(3)
+    got = {r.conv_id: r for r in chat.digest_turns(chat.format_turns(given)).collect()}
+    order = {
+        1: [("assistant", "z"), ("user", "a"), ("user", "b"), ("assistant", ""), ("assistant", "")],
+        2: [("user", "first"), ("", "second")],
+        3: [("assistant", long)],
+        None: [("user", "u"), ("assistant", "é")],
+    }
+    assert set(got) == set(order)
+    for i, turns in order.items():
+        loss = "".join(t for role, t in turns if role == "assistant")
+        assert got[i].n_turns == len(turns) and got[i].rewritten_turns == 0
+        assert got[i].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert (got[i].loss_chars, got[i].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())

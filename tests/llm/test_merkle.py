@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,3 +127,13 @@ def test_one_row_and_none(spark):
     one = merkle.manifest(spark.createDataFrame([(7, "a", "en", 1, "t")], SCHEMA)).collect()[0]
     assert one.leaf == one.subroot == one.root == one.folded_root and one.proof == [] and one.verified
     assert merkle.manifest(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_query_equals_its_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    got = merkle.op13_merkle(spark, folder)
+    want = db.sql(merkle.SQL)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
+    assert 0 < got.where("verified").count() < got.count()
