@@ -15,7 +15,9 @@ LIGHT = [
     "x_all_features", "l3_features_per_split", "d1_unique_categories", "d7_abandoned_cart_price",
     "d8_category_percentile", "d12_item_time_to_purchase", "d18_label_bought_30d", "d19_leakage_check",
     "m9_average_precision", "m11_precision_at_k", "m15_threshold_table", "m19_segment_precision",
-    "k5_result_rows", "t1_stream_scoring", "t2_stream_sessions",
+    "k5_result_rows", "t1_stream_scoring", "t2_stream_sessions", "t2_live_session_so_far", "t2_live_intent_sessions",
+    "j2_first_catalog_row", "j11_train_item_aggregates", "d21_distribution_drift", "l2_unchanged_stage", "l2_refreshed_days",
+    "s8_replay_safe_sink",
 ]
 
 
