@@ -2,7 +2,7 @@
 
 Each candidate block (the words around a licence word) is compressed alone and with every template as a raw
 zstandard dictionary, in frames without a head. Templates are ranked by how many bytes they save, and those that save fewer than
-``least_saved`` are passed over. The others are confirmed by the exact differences in wording: at least ``coverage`` of the
+``least_saved``, in the block and in the words around each licence word, are passed over. The others are confirmed by the exact differences in wording: at least ``coverage`` of the
 template's words stand in the block in order, with few others between them, and neither a version number nor a word that
 tells licences apart is among the differences. Those words come from the templates: near ones of different licences differ in
 them (affero, lesser, sharealike, later, ...), and none of one licence do. Of places that overlap the longest wording stays.
@@ -303,11 +303,15 @@ class Scanner:
             ((size - len(c.compress(text)), k) for k, (_, _, _, c) in enumerate(self.templates)),
             key=lambda x: (-x[0], x[1]),
         )
-        found = []
+        found, held = [], Counter(words)
         for rank, (saved, k) in enumerate(ranked, 1):
-            if saved < self.p.least_saved:
-                break
             name, kind, wanted, _ = self.templates[k]
+            if sum(min(n, held[w]) for w, n in Counter(wanted).items()) < len(wanted) - int((1 - self.p.coverage) * len(wanted)):
+                continue
+            if saved < self.p.least_saved:
+                saved = self.saved_nearby(k, words)
+            if saved < self.p.least_saved:
+                continue
             for start, stop, part, said in self.confirmed(wanted, words, self.telling[k]):
                 same = round(part * len(wanted))
                 found.append(((-same, len(said.split()), rank, start), (name, kind, start, stop, saved, rank, part, said)))
@@ -317,6 +321,15 @@ class Scanner:
                 out.append(x)
         return sorted(out, key=lambda x: (x[5], x[2]))
 
+    def saved_nearby(self, k: int, words: list[str]) -> int:
+        """Bytes that a template saves in the words around a licence word, as many as its own: in a whole block a few bytes
+        more or less of the coder's tables may hide what a short notice saves."""
+        m, best = len(self.templates[k][2]), 0
+        for i in anchored(words):
+            near = " ".join(words[max(0, i - m) : i + m + 1]).encode()
+            best = max(best, len(self.alone.compress(near)) - len(self.templates[k][3].compress(near)))
+        return best
+
     def confirmed(self, wanted: list[str], words: list[str], telling: frozenset[str]) -> Iterator[tuple[int, int, float, str]]:
         """Places where the template's words stand in order, nearly without gaps and extra words, and no telling one is
         missing or added."""

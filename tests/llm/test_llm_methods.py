@@ -578,10 +578,10 @@ def test_long_stretches_without_a_licence_word():
 def test_licences_of_odd_rows(spark):
     notice = "Released under the MIT License."
     rows = [(1, notice), (1, notice), (None, notice), (2, None), (3, ""), (4, " ".join(["filler"] * 50_000) + " " + notice)]
-    rows += [(5, "All rights reserved.")]
+    rows += [(5, "All rights reserved."), (6, "All rights reserved. " + " ".join(f"w{i * i % 97}" for i in range(63)))]
     got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string").withColumn("licence", F.lit("own"))).collect()
     assert sorted(((r.doc_id, r.licence, r.start_word) for r in got), key=repr) == sorted(
-        [(1, "MIT", 0), (1, "MIT", 0), (None, "MIT", 0), (4, "MIT", 50_000), (5, "Proprietary", 0)], key=repr
+        [(1, "MIT", 0), (1, "MIT", 0), (None, "MIT", 0), (4, "MIT", 50_000), (5, "Proprietary", 0), (6, "Proprietary", 0)], key=repr
     )
 
 
