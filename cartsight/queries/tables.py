@@ -54,11 +54,17 @@ BY_TYPE = """SELECT event_type, count(*) AS n, CAST(sum(us) AS BIGINT) AS sum_us
 
 
 def _by_type(df):
-    return df.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("us").cast("long")).alias("sum_us"),
-        F.sum(F.col("item_id").cast("long")).alias("sum_item"),
+    """Exact sums: BIGINT as in the SQL while all of a column fit, else DECIMAL (there the SQL's cast has no result)."""
+    found = settle(
+        df.groupBy("event_type").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.col("us").cast("decimal(20,0)")).alias("sum_us"),
+            F.sum(F.col("item_id").cast("decimal(20,0)")).alias("sum_item"),
+        )
     )
+    sums = ("sum_us", "sum_item")
+    too_large = found.agg(*(F.count_if(F.col(c).isNotNull() & F.col(c).try_cast("long").isNull()).alias(c) for c in sums)).first()
+    return found.withColumns({c: F.col(c).cast("long") for c in sums if not too_large[c]})
 
 
 # --- sources and sinks ----------------------------------------------------------------------------
