@@ -19,7 +19,7 @@ def repeated(spark, folder, times, out):
     return str(out)
 
 
-@pytest.mark.parametrize("name", ["s2_parquet_sink"])
+@pytest.mark.parametrize("name", ["s2_parquet_sink", "s3_csv_sink"])
 def test_sums_beyond_a_long_are_exact(spark, tmp_path, name):
     once = {r["event_type"]: r for r in queries()[name](spark, MEDIUM).collect()}
     assert queries()[name](spark, SMALL).schema["sum_us"].dataType.typeName() == "long"
