@@ -166,3 +166,28 @@ def test_grid_rows_are_bounded(spark, data):
 def test_latest_model_is_the_largest_version(spark):
     df = spark.createDataFrame([("v1", "a"), ("v3", "c"), ("v2", "b")], "version string, path string")
     assert tuple(M.latest_model(df).first()) == ("v3", "c")
+
+
+class CountedBooster:
+    """Stands in for a booster: its losses are given, and the rounds of each fit are kept."""
+
+    def __init__(self, losses, fitted, rounds):
+        self.losses, self.fitted, self.rounds = losses, fitted, rounds
+
+    def fit(self, rows):
+        self.fitted.append(self.rounds)
+        return self
+
+    def evaluateEachIteration(self, rows):  # noqa: N802
+        return self.losses[: self.rounds]
+
+
+@pytest.mark.parametrize("best", [1, 10, 30, 70, 170, 480])
+def test_rounds_beyond_the_patience_are_not_fitted(monkeypatch, best):
+    params = replace(ModelParams(), rounds=500)
+    losses, fitted = [abs(i - best) / 500 for i in range(1, 501)], []
+    monkeypatch.setattr(M, "_booster", lambda p: CountedBooster(losses, fitted, p.rounds))
+    _, found = M._grown(None, None, params)
+    needed = min(params.rounds, best + params.patience)
+    assert M.rounds_with_patience(found, params.patience) == M.rounds_with_patience(losses, params.patience) == best
+    assert sum(fitted) <= 4 * max(needed, 13)
