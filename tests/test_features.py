@@ -239,3 +239,25 @@ def test_category_percentile_counts_levels(spark):
         got = D.category_percentile(ev, examples, cuts)
         assert as_set(got, "user_id", "session_seq", "item_id", "category_affinity_percentile") == sorted(want)
     assert any(0 < r[-1] < 1 for r in want)
+
+
+def test_catalog_is_cut_to_the_wanted_items(spark):
+    from cartsight.operators.features import first_match
+
+    rows = [(i % 50, f"c{i}", float(i)) for i in range(100)]
+    catalog = spark.createDataFrame(rows, "item_id long, category string, base_price double")
+    items = spark.createDataFrame([(3,), (7,), (999,), (None,)], "item_id long")
+    assert sorted(map(tuple, first_match(catalog, "base_price", items).collect())) == [(3, "c3", 3.0), (7, "c7", 7.0)]
+    assert first_match(catalog, "base_price").count() == 50
+
+
+def test_history_shuffles_narrow_rows(spark):
+    """Expressions over carried columns are computed behind the exchange, with the same answers."""
+    from cartsight.operators.history import history_at
+    from cartsight.operators.skew import NO_CUTS
+
+    acts = spark.createDataFrame([(1, 10, 0), (1, 20, 1), (1, 30, 0), (2, 5, 1)], "user_id long, us long, _act int")
+    probes = spark.createDataFrame([(1, 30), (1, 31), (2, 5)], "user_id long, us long")
+    sums = {f"n{k}": F.when(F.col("_act") == k, 1) for k in (0, 1)}
+    out = history_at(acts, probes, ["user_id"], NO_CUTS, sums=sums, maxes={"last": F.when(F.col("_act") == 0, F.col("us"))}, carried=["_act"])
+    assert as_set(out, "user_id", "us", "n0", "n1", "last") == [(1, 30, 1, 1, 10), (1, 31, 2, 1, 30), (2, 5, 0, 0, None)]
