@@ -191,3 +191,31 @@ def test_rounds_beyond_the_patience_are_not_fitted(monkeypatch, best):
     needed = min(params.rounds, best + params.patience)
     assert M.rounds_with_patience(found, params.patience) == M.rounds_with_patience(losses, params.patience) == best
     assert sum(fitted) <= 4 * max(needed, 13)
+
+
+def test_training_rows_lie_in_even_partitions_in_a_fixed_order(spark, monkeypatch):
+    monkeypatch.setattr(M, "ROWS_PER_TASK", 500)
+    rows = [(i, i % 7, 1, i % 2) for i in range(4000)]
+    table = spark.createDataFrame(rows, "user_id long, item_id long, session_seq long, label int")
+    uneven = table.where("user_id < 3900").coalesce(1).unionByName(table.where("user_id >= 3900").repartition(7))
+
+    def found(df):
+        return M._gathered(df, 4000).rdd.glom().map(lambda p: [r["user_id"] for r in p]).collect()
+
+    parts = found(uneven)
+    assert len(parts) == 8 and max(map(len, parts)) < 2 * 500
+    assert parts == found(table.orderBy("label"))
+
+
+def test_slope_of_the_linear_model(spark, data):
+    """As summed row by row."""
+    train, _ = data
+    model = M.fit_linear(train, replace(QUICK, max_iter=3))
+    counts = M.class_counts(train)
+    weight = {k: sum(counts.values()) / (2 * v) for k, v in counts.items()}
+    out = model.transform(train).select("label", vector_to_array("features").alias("x"), vector_to_array("probability")[1].alias("p")).collect()
+    total, linear = sum(weight[r["label"]] for r in out), model.stages[-1]
+    slopes = [sum((r["p"] - r["label"]) * weight[r["label"]] for r in out) / total]
+    for i, c in enumerate(linear.coefficients):
+        slopes.append(sum((r["p"] - r["label"]) * weight[r["label"]] * r["x"][i] for r in out) / total + float(c) / len(out))
+    assert M.linear_slope(model, train) == pytest.approx(max(map(abs, slopes)), rel=1e-9)
