@@ -21,6 +21,7 @@ from cartsight.functions.columns import guarded_ratio, hours_since, minutes_betw
 from cartsight.operators.examples import USER
 from cartsight.operators.features import COUNTED, feature_columns, item_attributes, with_category
 from cartsight.params import ADD_TO_CART, DAY_US, SCROLL, VIEW
+from cartsight.sources.tables import settle
 
 IN_SESSION, QUESTION, IN_HISTORY = 0, 1, 2  # what a row does, in this order at one instant
 
@@ -156,7 +157,8 @@ def replayed_features(
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     ordered = rows.select(*keys, "us", "event_type", "item_id", "category", "_does").repartition(*by)
-    told = ordered.sortWithinPartitions(*by, "us", "_does").mapInArrow(walk, made)
+    # stored, so that no later step (such as looking for hot items) walks again
+    told = settle(ordered.sortWithinPartitions(*by, "us", "_does").mapInArrow(walk, made))
     now = F.col("us")
     full = item_attributes(told.join(known, "item_id", "left"), catalog)
     recent = [hours_since(F.col(f"last_{one}"), now).alias(f"hours_since_last_{one}") for _, _, one in COUNTED]
@@ -181,16 +183,33 @@ def replayed_features(
 
 
 def replay_differences(
-    features: DataFrame, ev: DataFrame, catalog: DataFrame, by: Sequence[str] = USER, windows_days: Sequence[int] = (1, 7, 30)
+    features: DataFrame,
+    ev: DataFrame,
+    catalog: DataFrame,
+    by: Sequence[str] = USER,
+    windows_days: Sequence[int] = (1, 7, 30),
+    replayed: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of a feature table that a forward replay answers otherwise, and the replay's answers to them. Must be empty.
 
-    ``features`` has ``by``, session_seq, item_id, session_end_us and all features, for whole sessions.
+    ``features`` has ``by``, session_seq, item_id, session_end_us and all features, for whole sessions. ``replayed`` may give
+    the stored answers to the same sessions (``replay_of``), where several tables are compared with them.
     """
     columns = [*by, "session_seq", "item_id", *feature_columns(windows_days)]
-    asked = features.select(*by, "session_seq", "session_end_us").distinct()
-    replayed = replayed_features(ev, catalog, asked, by, windows_days)
+    if replayed is None:
+        replayed = replay_of(features, ev, catalog, by, windows_days)
     types = {f.name: f.dataType for f in replayed.schema}
     given = features.select(*(F.col(c).cast(types[c]).alias(c) for c in columns))
-    replayed = replayed.select(*columns)
-    return given.exceptAll(replayed).unionByName(replayed.exceptAll(given))
+    # how often a row is given, less how often it is answered: both ways in one pass
+    both = given.withColumn("_n", F.lit(1)).unionByName(replayed.select(*columns).withColumn("_n", F.lit(-1)))
+    more = both.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    return more.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_n")))).drop("_n")
+
+
+def replay_of(
+    features: DataFrame, ev: DataFrame, catalog: DataFrame, by: Sequence[str] = USER, windows_days: Sequence[int] = (1, 7, 30)
+) -> DataFrame:
+    """The replay's answers to all sessions of a feature table. Of the catalog only the items of the events are looked up."""
+    asked = features.select(*by, "session_seq", "session_end_us").distinct()
+    known = settle(catalog.join(ev.select("item_id").distinct(), "item_id", "left_semi"))
+    return replayed_features(ev, known, asked, by, windows_days)

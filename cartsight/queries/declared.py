@@ -381,12 +381,13 @@ def d19(spark, d):
     """All features of all examples against a forward replay of the events; and as a counter-example those with one count
     taken a day ahead."""
     by = ("split", "user_id")
-    split, items = settle(split_events(spark, d)), catalog(spark, d)
+    split, items = settle(split_events(spark, d).select("split", *FE.EVENT_COLUMNS)), catalog(spark, d)
     features = settle(FE.build_features(split, items, by))
     sessions = features.select(*by, "session_seq", (F.col("session_end_us") + DAY_US).alias("session_end_us")).distinct()
     later = FE.session_history(split, sessions, time_cuts(split, "user_id", "us", SkewParams()), by)
     ahead = features.drop("views_count_7d").join(later.select(*by, "session_seq", "views_count_7d"), [*by, "session_seq"])
-    counts = [R.replay_differences(x, split, items, by).count() for x in (features, ahead)]
+    replayed = settle(R.replay_of(features, split, items, by))  # both tables ask about the same sessions
+    counts = [R.replay_differences(x, split, items, by, replayed=replayed).count() for x in (features, ahead)]
     return features.agg(F.count(F.lit(1)).alias("n_examples")).select(
         "n_examples", F.lit(counts[0]).cast("long").alias("n_changed"), F.lit(counts[1]).cast("long").alias("n_changed_ahead")
     )

@@ -58,3 +58,15 @@ def test_first_catalog_row_counts(spark):
     FE.assert_unique_items(items)
     with pytest.raises(ValueError, match="more than once: 0 .2., 1 .2."):
         FE.assert_unique_items(both)
+
+
+def test_differences_count_repeated_rows_both_ways(spark):
+    """A row given twice and answered once is one difference; the replay runs once, whatever is compared with it."""
+    ev, items = events(spark), catalog(spark)
+    features = settle(FE.build_features(ev, items))
+    replayed = settle(R.replay_of(features, ev, items))
+    once = features.count()
+    twice = features.unionByName(features.limit(1)).unionByName(features.limit(1))
+    changed = features.withColumn("views_count_7d", F.col("views_count_7d") + 1)
+    for table, differ in ((features, 0), (twice, 2), (changed, 2 * once)):
+        assert R.replay_differences(table, ev, items, replayed=replayed).count() == differ
