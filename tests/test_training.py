@@ -193,6 +193,19 @@ def test_rounds_beyond_the_patience_are_not_fitted(monkeypatch, best):
     assert sum(fitted) <= 4 * max(needed, 13)
 
 
+def test_grid_begins_where_a_like_booster_ended(spark, data, monkeypatch):
+    """The other weights begin with more rounds, as the first one's booster took them; points stay as they were."""
+    train, val = data
+    grid = replace(QUICK, grid_max_depth=(2,), grid_step_size=(0.2,), grid_rounds=(40,), grid_pos_weight=(1.0, 1.1, 1.2), grid_parallel=1, patience=2, subsample=1.0, feature_share=1.0)
+    alone = {w: M.tune(train, val, replace(grid, grid_pos_weight=(w,))).first() for w in grid.grid_pos_weight}
+    fitted, booster = [], M._booster
+    monkeypatch.setattr(M, "_booster", lambda p: fitted.append((p.pos_weight, p.rounds)) or booster(p))
+    tuned = {r.pos_weight: r for r in M.tune(train, val, grid).collect()}
+    assert {w: (r.n_trees, r.pr_auc) for w, r in tuned.items()} == {w: (r.n_trees, pytest.approx(r.pr_auc)) for w, r in alone.items()}
+    begun = {w: n for w, n in reversed(fitted)}
+    assert begun[1.0] == 5 and begun[1.1] == min(40, 3 * (tuned[1.0].n_trees + 2) // 2) > 5 and begun[1.2] >= begun[1.1]
+
+
 def test_training_rows_lie_in_even_partitions_in_a_fixed_order(spark, monkeypatch):
     monkeypatch.setattr(M, "ROWS_PER_TASK", 500)
     rows = [(i, i % 7, 1, i % 2) for i in range(4000)]
