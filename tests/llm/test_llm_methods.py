@@ -421,6 +421,46 @@ def test_passages_find_all_repeats(spark, texts):
     assert all(len({find(i) for i in ids}) == 1 for ids in runs.values() if len(ids) > 1)
 
 
+def test_passages_of_many_texts_lose_no_link(spark):
+    """Each passage is like those that it was edited from and into only, so that no first text connects them."""
+    draw, p, docs = random.Random(12), passages.PARAMS, {}
+    ids = draw.sample(range(10**6), 160)
+    for family in range(4):
+        passage = [f"p{family}x{i}" for i in range(60)]
+        for k in range(40):
+            passage[draw.randrange(8, 52)] = f"e{draw.getrandbits(40)}"
+            around = [[f"x{draw.getrandbits(40)}" for _ in range(draw.randint(0, 60))] for _ in range(2)]
+            docs[ids[40 * family + k]] = " ".join(around[0] + passage + around[1])
+    groups, links = collections.defaultdict(list), collections.defaultdict(list)
+    for key, _, doc, l, c, r in zip(*(x.tolist() for x in passages.text_windows(list(docs.values()), list(docs), p))):
+        groups[key].append((doc, l, c, r))
+    for key, group in groups.items():
+        for (a, l, c, r), (b, ll, cc, rr) in itertools.combinations(sorted(group), 2):
+            low, high = max(l, ll - cc + c), min(r, rr - cc + c)
+            if a != b and high - low + 1 >= p.shingles:
+                links[a, b].append((key & 0xFF, low, high, cc - c))
+    pairs = set()
+    for (a, b), found in links.items():
+        for al, ah, bl, bh in passages.interval_join(found, p):
+            one, two = ([w.encode() for w in docs[x].split()[max(0, lo) : hi + p.shingle]] for x, lo, hi in ((a, al, ah), (b, bl, bh)))
+            if passages.verify(one, two, p):
+                pairs.add((a, b))
+    assert len(pairs) > 140
+    rows = passages.repeated_passages(spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)).collect()
+    top = {i: i for i in docs}
+
+    def find(a):
+        while top[a] != a:
+            a = top[a]
+        return a
+
+    for r in rows:
+        top[find(r.doc_id)] = find(r.partner_id)
+    assert [x for x in pairs if find(x[0]) != find(x[1])] == []
+    classes = {i: (r.class_id, r.class_start) for r in rows for i in (r.doc_id, r.partner_id)}
+    assert all(classes[a] == classes[b] for a, b in pairs)
+
+
 def around(draw, *parts):
     """Words of the parts, lists or numbers of words that occur nowhere else."""
     return [w for p in parts for w in (p if isinstance(p, list) else [b"x%d" % draw.getrandbits(60) for _ in range(p)])]
