@@ -1,11 +1,14 @@
 """The operators against plain versions of what they compute."""
 
 import collections
+import glob
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
+import tempfile
 
 import numpy as np
 import pytest
@@ -461,6 +464,51 @@ def test_passages_of_many_texts_lose_no_link(spark):
     assert all(classes[a] == classes[b] for a, b in pairs)
 
 
+def test_stored_tables_leave_no_shuffle_files(spark):
+    root = spark.conf.get("spark.local.dir", None) or tempfile.gettempdir()
+    rows = spark.range(200_000).withColumn("x", F.xxhash64("id")).repartition(4, "x")
+
+    def kept(store):
+        before = set(glob.glob(f"{root}/**/blockmgr-*/*/shuffle_*.data", recursive=True))
+        assert store(rows).count() == 200_000
+        return set(glob.glob(f"{root}/**/blockmgr-*/*/shuffle_*.data", recursive=True)) - before
+
+    before = spark.conf.get(passages.CLEANUP)
+    assert len(kept(passages.settle)) >= 1  # what the operator did before
+    new = kept(passages.stored)  # the count's own are small
+    assert sum(os.path.getsize(f) for f in new if os.path.exists(f)) < 10_000
+    assert spark.conf.get(passages.CLEANUP) == before
+
+
+def test_candidates_within_a_class_are_cut_to_what_is_unknown(spark):
+    at = [(d, 100, 200, 7) for d in (1, 2)] + [(3, 100, 200, 8), (4, 20, 260, 7)]
+    at = spark.createDataFrame(at, "doc long, low int, high int, root long")
+    given = [(1, 2, 0, 295, 0, 295), (1, 2, 80, 215, 80, 215), (1, 3, 80, 215, 80, 215), (1, 5, 80, 215, 0, 130), (1, 4, 0, 195, 0, 195)]
+    rows = passages.unknown(spark.createDataFrame(given, passages.CANDIDATE), at, passages.PARAMS).collect()
+    beside = [(1, 2, 0, 95, 0, 295), (1, 2, 200, 295, 0, 295), (1, 2, 0, 295, 0, 95), (1, 2, 0, 295, 200, 295), (1, 4, 0, 95, 0, 195)]
+    assert sorted(map(tuple, rows)) == sorted([*beside, *given[2:4]])
+
+
+def test_class_of_stretches():
+    draw, p, met = random.Random(5), passages.PARAMS, collections.Counter()
+    for _ in range(3000):
+        cuts = sorted(draw.sample(range(400), 2 * draw.randint(0, 3)))
+        at = [(a, b, draw.choice([4, 4, 9])) for a, b in zip(cuts[::2], cuts[1::2])]
+        low = draw.randrange(300)
+        high = low + draw.randint(45, 150)
+        c, other = draw.randint(low, high), draw.randint(low, high)
+        one = [np.array([x], np.int64) for x in (c, other - c, low, high)]
+        (got,) = passages._classes(6, *one, np.array(at, np.int64).reshape(-1, 3).T, p).tolist()
+        roots = {r for a, b, r in at if a < high + 5 and b > low}
+        first, stop = min(c, other), max(c, other) + 5
+        begins = [i for i in range(low, high + 5 - 49) if i <= first and max(i + 50, stop) <= high + 5]
+        apart = [i for i in begins if not any(a < max(i + 50, stop) and b > i for a, b, _ in at)]
+        want = "own" if apart or not roots else roots.pop() if len(roots) == 1 else "several"
+        assert want == (got if got >= 0 else "several" if got < passages.SEVERAL else "own")
+        met[want] += 1
+    assert min(met.values()) > 100 and len(met) == 4
+
+
 def around(draw, *parts):
     """Words of the parts, lists or numbers of words that occur nowhere else."""
     return [w for p in parts for w in (p if isinstance(p, list) else [b"x%d" % draw.getrandbits(60) for _ in range(p)])]
