@@ -163,6 +163,22 @@ def test_grid_rows_are_bounded(spark, data):
     assert M.bounded_rows(train, n, 42) is train
 
 
+def test_the_grid_learns_from_all_rows(spark, data, monkeypatch):
+    train, val = data
+    many = train.crossJoin(spark.range(501).withColumnRenamed("id", "copy"))
+    many = many.withColumn("session_seq", F.col("copy")).drop("copy")
+    learnt = []
+
+    def grown(rows, *rest, **named):
+        learnt.append(rows.count())
+        raise NotImplementedError
+
+    monkeypatch.setattr(M, "_grown", grown)
+    with pytest.raises(NotImplementedError):
+        M.grid_scores(many, val, replace(QUICK, grid_max_depth=(1,), grid_step_size=(0.1,), grid_rounds=(1,), grid_pos_weight=(1.0,)))
+    assert learnt == [400 * 501]
+
+
 def test_latest_model_is_the_largest_version(spark):
     df = spark.createDataFrame([("v1", "a"), ("v3", "c"), ("v2", "b")], "version string, path string")
     assert tuple(M.latest_model(df).first()) == ("v3", "c")
