@@ -551,6 +551,31 @@ def test_all_passages_of_a_candidate(gap):
     assert sorted(passages.verify(a, b, passages.PARAMS)) == crossed
 
 
+def test_passage_of_short_runs_beside_text_that_repeats_itself():
+    """A passage of equal runs of 7 and 35 shingles is found where other shingles have very many equal pairs."""
+    draw = random.Random(5)
+    often, passage = around(draw, 70), around(draw, 51)
+    edited = [*passage[:11], b"edit", *passage[12:]]
+    a = around(draw, often * 40, 60, passage, 60)
+    b = around(draw, 60, edited, 60, often[:60], often[5:], often * 39)
+    found = passages.verify(a, b, passages.PARAMS)
+    assert any(x[:4] == (2860, 2911, 60, 111) for x in found) and len(found) == 2
+    # and the places of a passage that both repeat with edits, each time others
+    one, two = ([w if draw.random() > 0.03 else b"e%d" % draw.getrandbits(40) for _ in range(60) for w in often] for _ in range(2))
+    found = passages.verify(one, two, passages.PARAMS)
+    assert len({i for x in found for i in range(x[0], x[1])}) > 0.75 * len(one)
+
+
+def test_chain_of_bits_is_as_long_as_that_of_pairs():
+    draw = random.Random(7)
+    for _ in range(500):
+        n, m, share = draw.randrange(1, 40), draw.randrange(1, 40), draw.random()
+        points = [(i, ks) for i in range(n) if (ks := [k for k in range(m) if draw.random() < share])]
+        got = passages._chain_of_bits([(i, sum(1 << k for k in ks)) for i, ks in points], m)
+        assert len(got) == len(passages._chain(points)) and all(k in dict(points)[i] for i, k in got)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:]))
+
+
 # --- licences --------------------------------------------------------------------------------------
 
 
